@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tripflow.functions.identity import event_key, uuid_of
+from tripflow.functions.once import with_once
 from tripflow.functions.money import kilometres, money, surcharges
 from tripflow.operators.validate import REJECT_REASONS, reject_reason, split
 from tripflow.schemas import DOUBLE, MONEY, SCHEMA_VERSION, extras_schema
@@ -40,7 +41,7 @@ def extras(source: str) -> Column:
 
 def judge(raw: DataFrame, month: str | Column | None = None) -> DataFrame:
     """A raw frame in the fixed shape, each row with its reject reason."""
-    return resolve_columns(raw).withColumn(REASON, reject_reason(month))
+    return with_once(resolve_columns(raw), REASON, reject_reason(month))
 
 
 def to_canonical(valid: DataFrame, ingested_at: datetime, source: str = "tlc_yellow") -> DataFrame:

@@ -11,8 +11,9 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType, TimestampType
+from pyspark.sql.types import DataType, StructField, StructType, TimestampType
 
+from tripflow.functions.once import with_once
 from tripflow.functions.time import iso_text
 from tripflow.operators.validate import canonical_violations
 from tripflow.schemas import (
@@ -56,13 +57,10 @@ def _typed(text: Column, kind: DataType) -> tuple[Column, Column]:
 
 def decode_wire(messages: DataFrame, source: str) -> DataFrame:
     """Messages as canonical columns plus `wire_error` (NULL when good) and the untouched `value`."""
-    parsed = messages.select(
-        F.col("value").cast("string").alias("value"),
-        F.from_json(F.col("value").cast("string"), WIRE_TEXT).alias("m"),
-        F.from_json(
-            F.get_json_object(F.col("value").cast("string"), "$.source_extras"), extras_schema(source)
-        ).alias("source_extras"),
-    )
+    # The extras keep their own types; an unreadable extra is audit data lost, not a broken event.
+    shape = StructType([*WIRE_TEXT.fields, StructField("source_extras", extras_schema(source))])
+    texts = messages.select(F.col("value").cast("string").alias("value"))
+    parsed = with_once(texts, "m", F.from_json("value", shape))
     columns, unreadable = [], []
     for name, kind in CANONICAL_TYPES.items():
         if isinstance(kind, StructType):
@@ -77,7 +75,7 @@ def decode_wire(messages: DataFrame, source: str) -> DataFrame:
             unreadable.append(bad)
         columns.append(column.alias(name))
     flagged = parsed.select(
-        *columns, "source_extras", reduce(or_, unreadable).alias("_unreadable"), "value"
+        *columns, "m.source_extras", reduce(or_, unreadable).alias("_unreadable"), "value"
     )
     missing = reduce(or_, (F.col(name).isNull() for name in REQUIRED_CANONICAL))
     violations = canonical_violations()
@@ -86,7 +84,7 @@ def decode_wire(messages: DataFrame, source: str) -> DataFrame:
         .when(missing, "missing_field")
         .when(F.size(violations) > 0, F.element_at(violations, 1))
     )
-    return flagged.withColumn("wire_error", error).drop("_unreadable")
+    return with_once(flagged, "wire_error", error).drop("_unreadable")
 
 
 def decode_view(messages: DataFrame) -> DataFrame:
@@ -96,7 +94,7 @@ def decode_view(messages: DataFrame) -> DataFrame:
     """
     text = F.col("value").cast("string")
     m = lambda path: F.col(f"_m.{path}")
-    parsed = messages.withColumn("_m", F.from_json(text, VIEW_TEXT))
+    parsed = with_once(messages, "_m", F.from_json(text, VIEW_TEXT))
     pickup, bad_pickup = _typed(m("pickup_datetime"), INSTANT)
     zone, bad_zone = _typed(m("pickup_location.zone_id"), INT)
     fare, bad_fare = _typed(m("fare_amount"), MONEY)
@@ -129,4 +127,4 @@ def decode_view(messages: DataFrame) -> DataFrame:
         .when(missing, "missing_field")
         .when(negative, "negative_value")
     )
-    return decoded.withColumn("view_error", error).drop("_unreadable", "_no_place")
+    return with_once(decoded, "view_error", error).drop("_unreadable", "_no_place")
