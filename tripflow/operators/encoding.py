@@ -39,12 +39,12 @@ def category_statistics(rows: DataFrame, keys: Sequence[str], value: str = "quot
 
 def _variance(n: Column, s: Column, q: Column) -> Column:
     """Population variance; numerator exact, so a constant category gives exactly zero."""
-    return (n.cast("decimal(18,0)") * q - s * s).cast("double") / (n.cast("double") * n)
+    return F.try_divide((n.cast("decimal(18,0)") * q - s * s).cast("double"), n.cast("double") * n)
 
 
 def _code(n: Column, s: Column, q: Column, n0: Column, s0: Column, q0: Column) -> Column:
     """Shrunk mean in currency units; the overall mean where nothing is known about the category."""
-    overall = s0.cast("double") / n0
+    overall = F.try_divide(s0.cast("double"), n0)
     spread = _variance(n0, s0, q0)
     weight = n * spread / (n * spread + _variance(n, s, q))
     shrunk = weight * (s.cast("double") / n) + (1 - weight) * overall

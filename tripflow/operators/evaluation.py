@@ -87,9 +87,10 @@ def improvement_pct(report: DataFrame, name: str, baseline: str, model: str) ->
     return report.agg(mae_of(baseline).alias("baseline_mae"), mae_of(model).alias("model_mae")).select(
         "baseline_mae",
         "model_mae",
-        (100 * (F.col("baseline_mae") - F.col("model_mae")) / F.col("baseline_mae"))
-        .cast("decimal(10,2)")
-        .alias("improvement_pct"),
+        F.when(
+            F.col("baseline_mae") != 0,
+            (100 * (F.col("baseline_mae") - F.col("model_mae")) / F.col("baseline_mae")).cast("decimal(10,2)"),
+        ).alias("improvement_pct"),
     )
 
 

@@ -121,8 +121,8 @@ def day_outliers(daily: DataFrame) -> DataFrame:
     volume = exact_median(city, "trip_count", out="m").scalar()
     return city.select(
         "*",
-        F.round(F.col("avg_price").cast("double") / price, 4).alias("price_ratio"),
-        F.round(F.col("trip_count") / volume, 4).alias("volume_ratio"),
+        F.round(F.try_divide(F.col("avg_price").cast("double"), price), 4).alias("price_ratio"),
+        F.round(F.try_divide(F.col("trip_count"), volume), 4).alias("volume_ratio"),
     )
 
 
