@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tripflow.operators.baselines import global_median, pair_medians, quote_by_global, quote_by_pair
 from tripflow.operators.encoding import cross_fitted_codes, encode, encode_training, fit_encodings
 from tripflow.operators.evaluation import regression_report
-from tripflow.operators.features import ENCODED, FEATURES, bucket_of_100, features, holdout_split
+from tripflow.operators.features import ENCODED, bucket_of_100, features, holdout_split
 from tripflow.schemas import AVERAGE, DOUBLE, LONG, TEXT, struct_of
 from tripflow.session import scratch
 from tripflow.settings import Settings
