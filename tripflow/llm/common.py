@@ -6,7 +6,9 @@ a few numpy passes. Nulls count as empty texts.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,12 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20
+PACKAGE_HOME = str(Path(__file__).resolve().parents[2])
 
 U64 = np.uint64
 
 
 def session(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches: a batch of very long texts must fit beside the executor's heap."""
+    """Small Arrow batches: a batch of very long texts must fit beside the executor's heap.
+
+    Python workers import this package, so they get the path the driver has it from (a cluster that ships the
+    package by other means is not affected).
+    """
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_HOME not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_HOME])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     spark.conf.set("spark.sql.adaptive.enabled", "true")

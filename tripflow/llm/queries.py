@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, pii, quality
-from tripflow.llm.common import session
+from tripflow.llm import bpe, decontaminate, langid, pii, quality, toxicity
+from tripflow.llm.common import crc_rest, session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,62 @@ def sha(column) -> F.Column:
     return F.sha2(column.cast("binary"), 256)
 
 
+@query("op2_toxicity")
+def op2(table) -> DataFrame:
+    docs, labels = table("documents"), table("labels")
+    held_out = lambda frame: crc_rest(frame["doc_id"], 5) == 0
+    known = labels.where(~held_out(labels)).select("doc_id", "toxic")
+    model = toxicity.fit(docs.select("doc_id", "text", "lang").join(known, "doc_id"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out(scored).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+LEAK_SQL = r"""
+WITH fold AS (SELECT doc_id, 0 AS kind, '' AS item, coalesce(text, '') AS t FROM documents
+              UNION ALL SELECT NULL, 1, coalesce(CAST(item_id AS VARCHAR), ''), coalesce(text, '') FROM benchmark),
+w AS (SELECT doc_id, kind, item, regexp_extract_all(
+        translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM fold),
+p AS (SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS g
+      FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM w WHERE kind = 1 AND len(w) > 0)),
+h AS (SELECT d.doc_id, d.i, p.n, p.item FROM (
+        SELECT doc_id, i, s.n, array_to_string(w[i : i + s.n - 1], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE kind = 0)
+        CROSS JOIN (SELECT DISTINCT n FROM p) s WHERE i + s.n - 1 <= len(w)) d JOIN p ON p.n = d.n AND p.g = d.g),
+k AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS s FROM h GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(k.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items,
+       sha256(coalesce(t.s, '')) AS items_sha256, coalesce(k.n, 0) > 0 AS contaminated
+FROM w LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_id) WHERE w.kind = 0
+"""
+
+
+@query("op3_decontamination", LEAK_SQL)
+def op3(table) -> DataFrame:
+    hits = decontaminate.exact_hits(decontaminate.build_index(table("documents")), table("benchmark"))
+    return hits.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        sha(F.array_join("items", ",")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op4_language_id")
+def op4(table) -> DataFrame:
+    docs = table("documents")
+    held_out = crc_rest(F.col("doc_id"), 3) == 1
+    model = langid.fit(docs.where(~held_out))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query("op5_byte_bpe")
 def op5(table) -> DataFrame:
     import public_tokenizers as public
