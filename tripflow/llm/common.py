@@ -163,3 +163,28 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     for k in range(1, size):
         total = total + words[k : k + n] * _STEPS[k]
     return mix(total)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """(key, rows) of each run of equal keys; batches come sorted by the keys, and a run may span several."""
+    held: list[pa.RecordBatch] = []
+    current = None
+
+    def flush():
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+        first = 0
+        for k in range(1, batch.num_rows + 1):
+            if k == batch.num_rows or values[k] != values[first]:
+                if held and values[first] != current:
+                    yield current, flush()
+                    held = []
+                current = values[first]
+                held.append(batch.slice(first, k - first))
+                first = k
+    if held:
+        yield current, flush()

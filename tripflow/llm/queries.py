@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, decontaminate, langid, pii, quality, toxicity
+from tripflow.llm import bpe, decontaminate, jaccard_join, langid, pii, quality, toxicity
 from tripflow.llm.common import crc_rest, session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,28 @@ def op6(table) -> DataFrame:
     )
 
 
+NEAR_SQL = r"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i : i + least(5, len(w)) - 1], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g)
+      WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS MATERIALIZED (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS d, doc_id AS c FROM w UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.d)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN r ON r.d = w.doc_id GROUP BY w.doc_id
+"""
+
+
+@query("op8_jaccard_join", NEAR_SQL)
+def op8(table) -> DataFrame:
+    return jaccard_join.near_duplicates(table("documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUALITY_SQL = r"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, lang, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
