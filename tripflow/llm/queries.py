@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, decontaminate, jaccard_join, langid, pii, quality, toxicity
+from tripflow.llm import bpe, decontaminate, extract, jaccard_join, langid, pii, quality, toxicity
 from tripflow.llm.common import crc_rest, session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,12 @@ def op6(table) -> DataFrame:
     )
 
 
+@query("op7_html_extraction")
+def op7(table) -> DataFrame:
+    found = extract.extract(table("pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 NEAR_SQL = r"""
 WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
