@@ -53,6 +53,19 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Delete the files of a frame made by `stored`, once nothing reads it any more."""
+    from tripflow.session import shared_folder
+
+    spark = frame.sparkSession
+    home = shared_folder(spark)
+    for folder in {f.rpartition("/")[0] for f in frame.inputFiles()}:
+        # Only sub-folders of the shared folder are ever made by `stored`.
+        if home.removeprefix("file://") in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def row_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n + 1 row offsets into them."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, decontaminate, extract, jaccard_join, langid, pii, quality, toxicity
+from tripflow.llm import bpe, decontaminate, extract, jaccard_join, langid, pii, quality, suffix_dedup, toxicity
 from tripflow.llm.common import crc_rest, session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,9 @@ FROM (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS failed FR
 @query("op9_quality_rules", QUALITY_SQL)
 def op9(table) -> DataFrame:
     return quality.judge(table("documents"))
+
+
+@query("op10_suffix_dedup")
+def op10(table) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table("documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", sha(F.col("kept")).alias("kept_sha256"))
