@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from catalog.analysis_queries import LATE
 from catalog.inputs import INGESTED, NOW, Inputs
 from catalog.ingest_queries import damaged_messages
-from catalog.reference_sql import amount
+from catalog.reference_sql import amount, rollup
 from catalog.registry import query
+from catalog.serving_queries import COMPARED, competitive
 from catalog.shapes import HISTORY_STAMP, PAIR_VERSION
 from tripflow.operators.arrival import mark_late
 from tripflow.operators.baselines import global_median, pair_medians, quote_by_pair
@@ -21,6 +22,7 @@ from tripflow.operators.merge import WINDOW_KEYS
 from tripflow.operators.rollup import city_rows, window_metrics
 from tripflow.operators.serving import serving_windows
 from tripflow.plans.jobs import (
+    backfill,
     Paths,
     aggregate_daily,
     evaluate,
@@ -35,6 +37,7 @@ from tripflow.schemas import DAILY, EVALUATION
 from tripflow.session import scratch
 from tripflow.sources.lake import read_lake, write_lake
 from tripflow.sources.log import FileLog, follow_log, read_log, write_log
+from tripflow.sources.raw_files import FILE_PREFIX, read_raw_range
 from tripflow.sources.serving_tables import read_batches, read_snapshot
 from tripflow.sources.wire import decode_view, encode_wire
 from tripflow.streaming.hot import WINDOW_ROWS, publish_dead_letters, publish_windows, read_views, read_windows
@@ -282,14 +285,63 @@ def k4(i):
     return read_windows(i.spark, paths.at("windows_final"), paths.at("windows_open"))
 
 
-@query("k5_train")
+@query("k5_train", f"SELECT model, competitive FROM ({COMPARED})")
 def k5(i):
-    """Lake -> sample -> fit -> comparison with both price tables -> saved model; its metrics as rows."""
+    """Lake -> sample -> fit -> comparison with both price tables -> saved model, whose metrics are read back."""
     paths = place(i, "train")
     load_history(i.raw, paths, INGESTED, i.settings)
-    card = train(i.spark, paths, NOW, replace(i.settings, boosting_rounds=8))
-    rows = [(model, m["mae"], m["rmse"], m.get("r2")) for model, m in sorted(card["metrics"].items())]
-    return i.spark.createDataFrame(rows, "model string, mae double, rmse double, r2 double")
+    train(i.spark, paths, NOW, i.settings)
+    card = i.spark.read.text(f"{paths.model}/card")
+    shape = "metrics map<string, struct<mae:double>>"
+    metrics = card.select(F.explode(F.from_json("value", shape)["metrics"]).alias("model", "m"))
+    rows = metrics.select("model", F.col("m.mae").alias("mae"), F.lit(None).cast("long").alias("row_count"))
+    return competitive(rows).drop("row_count")
+
+
+MONTHS = ("1997-11", "1997-12", "1998-01")
+_IN_MONTHS = f"source_month BETWEEN DATE '{MONTHS[0]}-01' AND DATE '{MONTHS[-1]}-01'"
+
+
+def month_folders(i: Inputs, paths: Paths) -> str:
+    """Months as Spark writes them: one folder of part files each, the middle one with other column names."""
+    folder = paths.at("raw")
+    for k, month in enumerate(MONTHS):
+        rows = i.raw.where(F.col("source_month") == F.lit(f"{month}-01").cast("date")).drop("source_month")
+        rows = rows.toDF(*(c.upper() for c in rows.columns)) if k == 1 else rows
+        rows.write.parquet(f"{folder}/{FILE_PREFIX}{month}.parquet")
+    return folder
+
+
+@query(
+    "s2_read_months",
+    f"""SELECT source_month, count(*) AS records, CAST(round(sum(total_amount) * 100) AS BIGINT) AS cents FROM raw_trips
+        WHERE {_IN_MONTHS} GROUP BY 1""",
+)
+def s2(i):
+    """A range of monthly folders with drifting columns, each row tagged with the month of its path."""
+    raw = read_raw_range(i.spark, month_folders(i, place(i, "months")), MONTHS[0], MONTHS[-1])
+    return raw.groupBy("source_month").agg(
+        F.count(F.lit(1)).alias("records"), F.round(F.sum("total_amount") * 100).cast("bigint").alias("cents")
+    )
+
+
+_BACKFILLED = f"""(SELECT *, CAST(round(trip_distance * 100) AS BIGINT) * 1609344 AS km8 FROM judged
+    WHERE reject_reason IS NULL AND {_IN_MONTHS} AND date_trunc('month', tpep_pickup_datetime) = source_month)"""
+
+
+@query(
+    "k8_backfill",
+    f"""SELECT period AS metric_date, grain, zone_id, {_MEASURES}
+        FROM ({rollup(_BACKFILLED, 'CAST(tpep_pickup_datetime AS DATE)', 'CAST(PULocationID AS INT)')})""",
+)
+def k8(i):
+    """Monthly folders -> lake -> daily table, twice: the second run replaces and repeats nothing."""
+    paths = place(i, "backfill")
+    folder = month_folders(i, paths)
+    for _ in range(2):
+        backfill(i.spark, folder, MONTHS[0], MONTHS[-1], paths, INGESTED, i.settings)
+    columns = ["metric_date", "grain", "zone_id", *(c.strip() for c in _MEASURES.split(","))]
+    return read_snapshot(i.spark, paths.daily, DAILY).select(*columns)
 
 
 @query(

@@ -154,3 +154,44 @@ def test_train_save_load_quote(spark, tmp_path):
     quoted = model.quote(flatten_zones(events(spark, ride(datetime(2026, 1, 1, 5), PULocationID=250.0), {})))
     assert quoted.where("predicted_amount is null").count() == 0
     assert GOOD["fare_amount"] == 20.0
+
+
+def test_month_folders_keep_the_month_rule_and_repeat_nothing(spark, tmp_path):
+    inside, stray = datetime(2024, 11, 5, 7), datetime(2008, 12, 31, 23)
+    raw_frame(spark, ride(inside), ride(stray)).repartition(2).write.parquet(f"{tmp_path}/{FILE_PREFIX}2024-11.parquet")
+    paths = Paths(str(tmp_path / "out"))
+    for _ in range(2):
+        counts = jobs.backfill(spark, str(tmp_path), "2024-11", "2024-11", paths, AT, SETTINGS)
+        assert counts["accepted"] == 1 and counts["outside_source_month"] == 1
+        assert spark.read.parquet(paths.rejects).count() == 1
+
+
+def test_numbers_no_type_holds_are_rejected_not_fatal(spark, tmp_path):
+    log, paths = FileLog(str(tmp_path / "log")), Paths(str(tmp_path / "out"))
+    wild = [{"fare_amount": 1e11}, {"extra": 1e13}, {"extra": float("inf")}, {"trip_distance": 1e300}, {"tip_amount": float("inf")}]
+    jobs.ingest_validate(raw_frame(spark, {}, *wild), log, paths, AT, SETTINGS)
+    rejected = spark.read.parquet(paths.rejects)
+    assert rejected.where("reject_reason = 'out_of_range'").count() == len(wild) == rejected.count()
+    (good,) = read_log(spark, log).collect()
+    views = spark.createDataFrame(
+        [(good.value.replace('"trip_distance_km":', f'"trip_distance_km":{n},"was":'),) for n in ("1e300", '"Infinity"', '"NaN"', "1.5")],
+        "value string",
+    )
+    from tripflow.operators.rollup import window_metrics
+    from tripflow.sources.wire import decode_view
+
+    judged = decode_view(views)
+    assert judged.where("view_error is null").count() == 1
+    wide = judged.where("view_error is null").withColumn("fare_amount", F.lit(500_000_000).cast("decimal(12,2)"))
+    assert window_metrics(wide, 60).where("avg_fare is null").count() == 2
+
+
+def test_lake_failures_are_not_taken_for_an_absent_topic(spark, tmp_path):
+    log = FileLog(str(tmp_path / "log"))
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "part.txt").write_text("not json\n")
+    blocked = tmp_path / "out"
+    blocked.write_text("a file where the lake should be")
+    with pytest.raises(Exception):  # noqa: B017
+        jobs.stream_to_lake(spark, log, Paths(str(blocked)), SETTINGS)
+    assert diagnose(Exception("Path does not exist: file:/x")) is None

@@ -22,12 +22,17 @@ SURCHARGE_PARTS = (
 
 
 def exact(name: str) -> Column:
-    """A raw double as a wide decimal."""
-    return F.col(name).cast(WIDE)
+    """A raw double as a wide decimal; NULL where it is not finite or too large for one."""
+    return F.col(name).try_cast(WIDE)
 
 
 def money(name: str) -> Column:
-    return exact(name).cast(MONEY)
+    return exact(name).try_cast(MONEY)
+
+
+def unrepresentable(name: str, kind=MONEY) -> Column:
+    """Whether a value is there that the exact type cannot hold (infinite, or out of range)."""
+    return F.col(name).isNotNull() & F.col(name).try_cast(WIDE).try_cast(kind).isNull()
 
 
 def surcharges() -> Column:
@@ -46,5 +51,5 @@ def cents(amount: Column) -> Column:
 
 
 def mean_of(total: Column, n: Column, kind=AVERAGE) -> Column:
-    """Exact quotient, rounded half-up once when it is narrowed to `kind`."""
-    return (total / F.when(n != 0, n).cast("decimal(20,0)")).cast(kind)
+    """Exact quotient, rounded half-up once when it is narrowed to `kind`; NULL where that cannot hold it."""
+    return (total / F.when(n != 0, n).cast("decimal(20,0)")).try_cast(kind)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.operators.baselines import global_median, pair_medians, quote_by_global, quote_by_pair
@@ -30,20 +30,26 @@ class FareModel:
     version: str
     encodings: DataFrame
     pipeline: PipelineModel
+    # The trees learn (amount - center) / scale, so that a round's step is a share of the usual deviation.
+    center: float = 0.0
+    scale: float = 1.0
+
+    def amount(self) -> Column:
+        return F.round(F.col("prediction") * self.scale + self.center, 2).try_cast(AVERAGE)
 
     def quote(self, trips: DataFrame) -> DataFrame:
         """Trips with flattened zones plus `predicted_amount`, rounded to cents."""
         whole = trips.select("*", F.struct(*trips.columns).alias("_trip"))
         rows = _numeric(encode(features(whole, keep=["_trip"]), self.encodings))
         return self.pipeline.transform(rows).select(
-            "_trip.*", F.round("prediction", 2).cast(AVERAGE).alias("predicted_amount")
+            "_trip.*", self.amount().alias("predicted_amount")
         )
 
     def save(self, path: str, metadata: dict) -> None:
         self.encodings.write.mode("overwrite").parquet(f"{path}/encodings")
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         spark = self.encodings.sparkSession
-        text = json.dumps({**metadata, "model_version": self.version})
+        text = json.dumps({**metadata, "model_version": self.version, "center": self.center, "scale": self.scale})
         card = spark.createDataFrame([(text,)], "value string")
         card.coalesce(1).write.mode("overwrite").text(f"{path}/card")
 
@@ -51,7 +57,7 @@ class FareModel:
 def load_model(spark: SparkSession, path: str) -> tuple[FareModel, dict]:
     card = json.loads(spark.read.text(f"{path}/card").first()["value"])
     encodings = spark.read.schema(_ENCODINGS).parquet(f"{path}/encodings")
-    return FareModel(card["model_version"], encodings, PipelineModel.load(f"{path}/pipeline")), card
+    return FareModel(card["model_version"], encodings, PipelineModel.load(f"{path}/pipeline"), card["center"], card["scale"]), card
 
 
 def _numeric(rows: DataFrame) -> DataFrame:
@@ -75,11 +81,14 @@ def fit_fare_model(train: DataFrame, settings: Settings, version: str = MODEL_VE
     rows = _feature_rows(train)
     fitted_at = scratch(spark, "fare-model")
     fit_encodings(rows).write.parquet(f"{fitted_at}/encodings")
+    middle = rows.agg(F.percentile_approx(F.col("quoted_amount").cast("double"), 0.5, 10_000)).first()[0]
+    spread = rows.agg(F.percentile_approx(F.abs(F.col("quoted_amount").cast("double") - F.lit(middle)), 0.5, 10_000)).first()[0]
+    center, scale = float(middle or 0.0), float(spread or 1.0)
     encoded = _numeric(encode_training(rows, cross_fitted_codes(rows, settings), settings))
     (
         encoded.select(
             *_INPUTS,
-            F.col("quoted_amount").cast("double").alias("label"),
+            ((F.col("quoted_amount").cast("double") - center) / scale).alias("label"),
             (bucket_of_100(settings.seed + 2) < 10).alias("held_back"),
         ).write.parquet(f"{fitted_at}/rows")
     )
@@ -100,7 +109,7 @@ def fit_fare_model(train: DataFrame, settings: Settings, version: str = MODEL_VE
                 maxBins=255,
                 subsamplingRate=1.0,
                 validationIndicatorCol="held_back",
-                validationTol=0.001,
+                validationTol=0.0003,
                 checkpointInterval=10,
                 seed=settings.seed,
             ),
@@ -108,13 +117,13 @@ def fit_fare_model(train: DataFrame, settings: Settings, version: str = MODEL_VE
     )
     model = pipeline.fit(spark.read.parquet(f"{fitted_at}/rows"))
     encodings = spark.read.schema(_ENCODINGS).parquet(f"{fitted_at}/encodings")
-    return FareModel(version, encodings, model)
+    return FareModel(version, encodings, model, center, scale)
 
 
 def score_holdout(model: FareModel, held: DataFrame) -> DataFrame:
     rows = _numeric(encode(_feature_rows(held), model.encodings))
     return model.pipeline.transform(rows).select(
-        F.round("prediction", 2).cast(AVERAGE).alias("predicted_amount"),
+        model.amount().alias("predicted_amount"),
         F.col("quoted_amount").cast(AVERAGE).alias("actual_amount"),
     )
 

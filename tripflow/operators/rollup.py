@@ -22,7 +22,7 @@ def _sums() -> list[Column]:
         F.sum("total_amount").alias("revenue"),
         F.sum("fare_amount").alias("fare"),
         F.sum("tip_amount").alias("tip"),
-        F.sum(km.cast(WIDE)).alias("km"),
+        F.sum(km.try_cast(WIDE)).alias("km"),
         F.count(km).alias("km_n"),
     ]
 
@@ -31,7 +31,7 @@ def _measures() -> list[Column]:
     n = F.col("n")
     return [
         n.alias("trip_count"),
-        F.col("revenue").cast(REVENUE).alias("total_revenue"),
+        F.col("revenue").try_cast(REVENUE).alias("total_revenue"),
         mean_of(F.col("fare"), n).alias("avg_fare"),
         mean_of(F.col("tip"), n).alias("avg_tip"),
         mean_of(F.col("km"), F.col("km_n"), "decimal(18,3)").cast("double").alias("avg_distance_km"),

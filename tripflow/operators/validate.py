@@ -8,13 +8,14 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.functions.money import surcharges
+from tripflow.functions.money import SURCHARGE_PARTS, surcharges, unrepresentable
 from tripflow.functions.time import month_span
-from tripflow.schemas import AMOUNTS, REQUIRED_RAW
+from tripflow.schemas import AMOUNTS, MONEY, REQUIRED_RAW, WIDE
 
 # Reject reasons in the order in which they are reported.
 REJECT_REASONS = (
     "missing_required",
+    "out_of_range",
     "negative_distance",
     "dropoff_not_after_pickup",
     "negative_money",
@@ -41,11 +42,14 @@ def reject_reason(month: str | Column | None = None) -> Column:
     charged = ("fare_amount", "tip_amount", "tolls_amount", "total_amount")
     broken = {
         "missing_required": reduce(or_, (F.col(c).isNull() for c in REQUIRED_RAW)),
+        "out_of_range": reduce(or_, (unrepresentable(c) for c in (*charged, *SURCHARGE_PARTS)))
+        | unrepresentable("trip_distance", WIDE)
+        | surcharges().try_cast(MONEY).isNull(),
         "negative_distance": F.col("trip_distance") < 0,
         "dropoff_not_after_pickup": dropoff <= pickup,
         "negative_money": reduce(or_, (F.col(c) < 0 for c in charged)) | (surcharges() < 0),
         "negative_passenger_count": F.col("passenger_count") < 0,
-        "outside_source_month": F.lit(False) if month is None else ~in_month(pickup, month),
+        "outside_source_month": F.lit(False) if month is None else ~F.coalesce(in_month(pickup, month), F.lit(False)),
     }
     verdict = F.lit(None).cast("string")
     for reason in reversed(REJECT_REASONS):
@@ -69,6 +73,8 @@ def canonical_violations() -> Column:
     checks = {
         "location_missing": reduce(or_, map(unplaced, points)),
         "coordinates_out_of_range": reduce(or_, map(off_globe, points)),
+        "amount_missing": reduce(or_, (F.col(c).isNull() for c in AMOUNTS)),
+        "distance_out_of_range": unrepresentable("trip_distance_km", WIDE),
         "negative_amount": reduce(or_, (F.col(c) < 0 for c in AMOUNTS)),
         "negative_passenger_count": F.col("passenger_count") < 0,
         "negative_distance": F.col("trip_distance_km") < 0,

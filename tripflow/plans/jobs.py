@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -94,10 +94,20 @@ def load_history(
     events, rejected = adapt(raw, ingested_at, month, settings.source, seen)
     sound = events.where(F.size(canonical_violations()) == 0)
     write_lake(sound.where(is_history(settings.cutoff)), paths.lake, settings.source)
-    rejected.drop("source_month").write.mode("append").parquet(paths.rejects)
+    _write_rejects(rejected, paths, month if isinstance(month, str) else "undated")
     return dict(seen.get)
 
 
+def _write_rejects(rejected: DataFrame, paths: Paths, load: str) -> None:
+    """Rejected rows by the month they were loaded for; a repeated load replaces its own."""
+    named = F.lit(load)
+    if "source_month" in rejected.columns:
+        named = F.coalesce(F.date_format("source_month", "yyyy-MM"), named)
+    rows = rejected.withColumn("load_month", named).drop("source_month")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("load_month").parquet(paths.rejects)
+
+
 def bulk_load(
     spark: SparkSession, folder: str, month: str, paths: Paths, ingested_at: datetime, settings: Settings
 ) -> dict[str, int]:
@@ -115,18 +125,13 @@ def stream_to_lake(
     """
     read = Observation("log_read")
     kept = Observation("log_kept")
-    try:
-        messages = read_log(spark, log)
-        good, dead = split(decode_wire(messages, settings.source), "wire_error")
-        live = good.drop("value").where(is_live(settings.cutoff))
-        counted = live.observe(read, F.count(F.lit(1)).alias("rows_before"))
-        unique = drop_duplicate_trips(counted).observe(kept, F.count(F.lit(1)).alias("rows_after"))
-        write_lake(unique, paths.lake, settings.source)
-        dead.select("value", "wire_error").write.mode("overwrite").parquet(paths.dead_letters)
-    except Exception as error:
-        if diagnose(error) == "topic":
-            return {"rows_before": 0, "rows_after": 0, "collapsed": 0}
-        raise
+    judged = decode_wire(read_log(spark, log), settings.source)
+    good, dead = split(judged, "wire_error")
+    live = good.drop("value").where(is_live(settings.cutoff))
+    counted = live.observe(read, F.count(F.lit(1)).alias("rows_before"))
+    unique = drop_duplicate_trips(counted).observe(kept, F.count(F.lit(1)).alias("rows_after"))
+    write_lake(unique, paths.lake, settings.source)
+    dead.select("value", "wire_error").write.mode("overwrite").parquet(paths.dead_letters)
     before, after = read.get["rows_before"], kept.get["rows_after"]
     return {"rows_before": before, "rows_after": after, "collapsed": before - after}
 
@@ -162,10 +167,10 @@ def aggregate_daily(
             return inside if until is None else inside & (day < F.lit(until.date()))
 
     current = read_snapshot(spark, paths.daily, DAILY)
-    return _publish(merge_daily(current, staged, now, covered=covered, action="_took"), paths.daily)
+    return _publish(merge_daily(current, staged, now, covered=covered, action="_took"), paths.daily, drop_vanished)
 
 
-def _publish(merged: DataFrame, path: str) -> dict[str, int]:
+def _publish(merged: DataFrame, path: str, removes: bool = False) -> dict[str, int]:
     """Publish a merge result unless it changes nothing; returns how many rows each action took."""
     spark = merged.sparkSession
     staged = scratch(spark, "merge")
@@ -175,7 +180,8 @@ def _publish(merged: DataFrame, path: str) -> dict[str, int]:
         took, *(F.count_if(F.col("_took") == a).alias(a) for a in actions)
     ).write.parquet(staged)
     counts = {a: took.get[a] for a in actions}
-    publish_snapshot(spark.read.parquet(staged).drop("_took"), path)
+    if removes or counts["inserted"] or counts["updated"]:
+        publish_snapshot(spark.read.parquet(staged).drop("_took"), path)
     return counts
 
 
@@ -220,7 +226,7 @@ def run_hot_path(
 
 def train(spark: SparkSession, paths: Paths, trained_at: datetime, settings: Settings) -> dict:
     """Sample the lake, fit, compare with both price tables on one holdout, save model and metadata."""
-    trips = flatten_zones(read_lake(spark, paths.lake, settings.source, until=None))
+    trips = flatten_zones(read_lake(spark, paths.lake, settings.source, until=settings.cutoff + timedelta(seconds=1)))
     sampled = scratch(spark, "training-rows")
     training_rows(trips, settings).write.parquet(sampled)
     rows = spark.read.parquet(sampled)
@@ -285,6 +291,6 @@ def ingest_validate(
     events, rejected = adapt(raw, ingested_at, None, settings.source)
     sound = events.where(F.size(canonical_violations()) == 0)
     write_log(encode_wire(sound), log)
-    rejected.write.mode("append").parquet(paths.rejects)
+    _write_rejects(rejected, paths, "ingest")
     return rejected
 

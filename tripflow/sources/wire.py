@@ -24,6 +24,7 @@ from tripflow.schemas import (
     MONEY,
     REQUIRED_CANONICAL,
     VIEW_TEXT,
+    WIDE,
     WIRE_TEXT,
     extras_schema,
 )
@@ -52,6 +53,9 @@ def encode_wire(events: DataFrame) -> DataFrame:
 def _typed(text: Column, kind: DataType) -> tuple[Column, Column]:
     """The cast value, and whether text was there that the cast could not read."""
     value = text.try_cast(kind)
+    if kind == DOUBLE:
+        # "NaN", "Infinity" and 1e300 are doubles, but nothing downstream can add them up exactly.
+        value = F.when(value.try_cast(WIDE).isNotNull(), value)
     return value, text.isNotNull() & value.isNull()
 
 
