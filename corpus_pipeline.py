@@ -7,11 +7,11 @@ agree in both are copies, of which the near-duplicate stage keeps one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm import decontaminate, jaccard_join, langid, pii
-from tripflow.llm.common import session, stored
+from tripflow.llm.common import free_name, session, stored
 from tripflow.llm.queries import encoded
 
 # A document is rejected when so small a share of its n-grams is known in the language it fits best.
@@ -21,9 +21,10 @@ LEAST_KNOWN_SHARE = 0.2
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have letters and whose n-grams belong to a known language."""
     session(spark)
-    names = docs.columns
-    found = langid.predict(docs, langid.fit(docs), keep=tuple(names))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_KNOWN_SHARE)).select(names)
+    added = tuple(free_name(docs.columns, x) for x in ("lang_pred", "score"))
+    found = langid.predict(docs, langid.fit(docs), keep=tuple(docs.columns), added=added)
+    known = (F.col(added[0]) != langid.UNKNOWN) & (F.col(added[1]) >= LEAST_KNOWN_SHARE)
+    return found.where(known).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,24 +36,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     heads = stored(heads.groupBy("component_id").agg(F.min("text_key").alias("_key")), "heads")
     empty = groups.where("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     wanted = stored(heads.select(F.col("component_id").alias("_id"), "_key").unionByName(empty.distinct()), "wanted")
-    named = docs.select(F.xxhash64("text").alias("_text_key"), *docs.columns)
-    kept = named.join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi"
-    )
-    return _one_of_each(kept).select(docs.columns)
+    same = docs["doc_id"].eqNullSafe(wanted["_id"]) & (F.xxhash64(docs["text"]) == wanted["_key"])
+    return _one_of_each(docs.join(wanted, same, "left_semi"))
 
 
 def _one_of_each(kept: DataFrame) -> DataFrame:
-    """Drop repeated rows. Only ids that occur twice are sorted, so the texts of all others stay where they are."""
-    names = kept.columns
-    twice = kept.groupBy("doc_id", "_text_key").agg(F.count("*").alias("_n")).where("_n > 1")
-    twice = stored(twice.select(F.col("doc_id").alias("_d"), F.col("_text_key").alias("_t")), "twice")
+    """One of the rows that agree in id and text. Only such rows are shuffled; all others stay where they are."""
+    twice = kept.groupBy(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key")).agg(F.count("*").alias("_n"))
+    twice = stored(twice.where("_n > 1"), "twice")
     if twice.isEmpty():
         return kept
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_text_key") == F.col("_t"))
-    window = Window.partitionBy("doc_id", "_text_key").orderBy(*[c for c in names if c != "text"])
-    first = kept.join(twice, same, "left_semi").withColumn("_row", F.row_number().over(window)).where("_row = 1")
-    return kept.join(twice, same, "left_anti").unionByName(first.select(names))
+    same = kept["doc_id"].eqNullSafe(twice["_id"]) & (F.xxhash64(kept["text"]) == twice["_key"])
+    once = kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(twice, same, "left_anti").unionByName(once)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,6 +38,14 @@ def session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """`name`, with as many underscores before it as it takes to clash with no column."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def crc_rest(spark_col, modulus: int):
     """crc32 of the id written as text, modulo `modulus`; null ids count as the empty text."""
     return F.crc32(F.coalesce(spark_col.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -10,7 +10,7 @@ beginnings and endings are part of them.
 
 Defined results: a null text or one without letters is `und` with score 0, and so is every text when no
 language was learned; equal counts go to the language that sorts first; repeated rows get equal results; an
-empty table gives an empty table; the added columns are `lang_pred` and `score`, all others come from `keep`.
+empty table gives an empty table; the added columns are named by the caller (`lang_pred` and `score`), all others come from `keep`.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.llm.common import mix
+from tripflow.llm.common import free_name, mix
 
 NGRAM = 4
 UNKNOWN = "und"
@@ -202,23 +202,30 @@ def fit(
     return LanguageFilter(languages, slices, bits)
 
 
-def predict(docs: DataFrame, model: LanguageFilter, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns `keep`, `lang_pred` and `score`, one row per input row."""
+def predict(
+    docs: DataFrame,
+    model: LanguageFilter,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    added: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """Columns `keep` and the predicted language and its score, one row per input row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    body = free_name([*keep, *added], "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = [], []
-            for part in text_slices(batch.column("_text").to_pylist()):
+            for part in text_slices(batch.column(body).to_pylist()):
                 some, share = shared.value.predict(part)
                 langs += some
                 scores += share.tolist()
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                [*keep, "lang_pred", "score"],
+                [*keep, *added],
             )
 
     schema = T.StructType(
-        [*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+        [*(docs.schema[c] for c in keep), T.StructField(added[0], T.StringType()), T.StructField(added[1], T.DoubleType())]
     )
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text).alias(body)).mapInArrow(run, schema)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.llm import langid
-from tripflow.llm.common import FOLD, PLAIN_WORD, RangeHash, row_bytes, sliced, word_spans
+from tripflow.llm.common import FOLD, PLAIN_WORD, RangeHash, free_name, row_bytes, sliced, word_spans
 
 BUCKET_BITS = 20
 DIMENSIONS = 8
@@ -189,26 +189,33 @@ class Toxicity:
 
 
 def fit(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
     lang: str = "lang",
     rows_per_class: tuple[int, int] = ROWS_PER_CLASS,
     min_positives: int = 15,
 ) -> Toxicity:
-    """Learn from a bounded sample of `labelled` (text, label 0/1, language); languages serve the calibration."""
-    rows = labelled.select(
-        F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.col(lang).alias("lang")
-    ).where(F.col("label").isin(0, 1))
+    """Learn from a bounded sample of `labels` (id, label 0/1) and its texts in `docs` (id, text, language).
+
+    The sample is drawn from the labels alone, so the documents are joined with a list of bounded size.
+    Languages serve the calibration; labelled ids without a document and other labels than 0 and 1 are left out.
+    """
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     languages = langid.fit(rows, rows_per_language=1000)
-    seen = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).where("label in (0, 1)")
+    seen = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(seen) < 2:
         return Toxicity(None, languages, {}, 0.0, constant=float(1 in seen))
     scale = 1 << 30
     limit = F.when(F.col("label") == 1, min(scale, scale * rows_per_class[1] // seen[1])).otherwise(
         min(scale, scale * rows_per_class[0] // seen[0])
     )
-    sample = rows.where(F.pmod(F.xxhash64("text", F.lit("toxicity")), F.lit(scale)) < limit)
+    chosen = known.where(F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(scale)) < limit)
+    # About as many rows as `rows_per_class` allows, whatever the corpus.
+    sample = rows.join(F.broadcast(chosen), "id")
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,14 +263,15 @@ def fit(
 def score(docs: DataFrame, model: Toxicity, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns `keep` and `score`, one row per input row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    body = free_name([*keep, "score"], "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in sliced(batch, "_text", 1 << 20):
-                scores = shared.value.scores(part.column("_text"))
+            for part in sliced(batch, body, 1 << 20):
+                scores = shared.value.scores(part.column(body))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in keep), pa.array(scores, pa.float64())], [*keep, "score"]
                 )
 
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType())])
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text).alias(body)).mapInArrow(run, schema)
