@@ -191,12 +191,13 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFr
 
     one = named(fences(fine, rules, "lang", "source"), "one")
     lang = named(fences(by_lang, rules, "lang"), "lang")
-    every = fences(merge(fine), rules).select(F.struct(*names).alias("_all"))
+    # One row for all documents; without any there is nothing to limit.
+    every = fences(merge(fine), rules).first()
+    every = F.struct(*[F.lit(every[c] if every else 0).cast("long").alias(c) for c in names])
     # One row per group that occurs, with the limits it uses; then one join of the documents with it.
     limits = (
         one.join(lang, F.col("_one_lang").eqNullSafe(F.col("_lang_lang")), "left")
-        .join(every, F.lit(True), "left")
-        .select("_one_lang", "_one_source", F.coalesce("_one", "_lang", "_all").alias("_limit"))
+        .select("_one_lang", "_one_source", F.coalesce(F.col("_one"), F.col("_lang"), every).alias("_limit"))
     )
     at = measured.join(
         limits,
