@@ -42,7 +42,7 @@ _LOCAL = r"[A-Za-z0-9._%+-]"
 _DOMAIN = r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 _EMAIL_HERE = re.compile(rf"{_LOCAL}++{_DOMAIN}")
 _EMAIL_NEXT = re.compile(rf"(?<!{_LOCAL}){_LOCAL}++{_DOMAIN}")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 _DIGIT_CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
