@@ -32,9 +32,10 @@ from tripflow.llm.common import RangeHash, discard, mix, row_bytes, sliced, stor
 
 LENGTH = 100
 GRAM = 24
-# Bytes of one shard and of all shards that are merged at once.
-SHARD = 1 << 16
-PORTION = 1 << 20
+# Bytes of one shard and of all shards that are merged at once (a larger key stays whole): small enough for the
+# processor's cache, and for wide symbols to fit 16 bits.
+SHARD = 1 << 14
+PORTION = 1 << 17
 GROUP = 20_000
 # Lists of wanted stretches up to so many rows are sent to all executors (about 60 MB); longer ones are shuffled.
 BROADCAST_ROWS = 2_000_000
