@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that may be changed on a running session.
 RUNTIME_SETTINGS = {
@@ -70,3 +70,10 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder, never reused."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def settled(frame: DataFrame, name: str) -> DataFrame:
+    """The frame's rows from a table in the shared folder: whatever reads them twice computes them once."""
+    path = scratch(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
