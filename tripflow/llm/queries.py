@@ -188,7 +188,23 @@ def op9(table) -> DataFrame:
     return quality.judge(table("documents"))
 
 
-@query("op10_suffix_dedup")
+REPEAT_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, h, unnest(range(1, len(h) // 2 + 1)) AS i FROM d),
+w AS (SELECT doc_id, i, substr(h, 2 * i - 1, 2) AS b,
+        CASE WHEN 2 * i + 198 <= len(h) THEN md5(substr(h, 2 * i - 1, 200)) END AS g FROM p),
+r AS (SELECT doc_id, i, b, g IS NOT NULL AND row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1 AS again FROM w),
+c AS (SELECT doc_id, i, b, coalesce(i - max(CASE WHEN again THEN i END) OVER (PARTITION BY doc_id ORDER BY i) < 100, false) AS gone FROM r),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM c),
+s AS (SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS removed, count(*) FILTER (opens) AS spans,
+        string_agg(b, '' ORDER BY i) FILTER (NOT gone) AS kept FROM e GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)
+"""
+
+
+@query("op10_suffix_dedup", REPEAT_SQL)
 def op10(table) -> DataFrame:
     cut = suffix_dedup.remove_repeats(table("documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", sha(F.col("kept")).alias("kept_sha256"))
