@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # A worker remembers the encodings of so many pieces and the last tokens of so many prefixes, then starts afresh.
-REMEMBERED_PIECES = 600_000
-REMEMBERED_PREFIXES = 1_200_000
+REMEMBERED_PIECES = 300_000
+REMEMBERED_PREFIXES = 600_000
 # Prefixes of longer pieces are not shared among pieces: remembering them would take the square of the length.
 SHARED_PREFIX_BYTES = 48
 
@@ -67,7 +67,7 @@ class Vocabulary:
         return [self.ranks[p] for p in parts]
 
     def stay_apart(self, left: int, right: int) -> bool:
-        if len(self.apart) > 1_000_000:
+        if len(self.apart) > REMEMBERED_PIECES:
             self.apart.clear()
         together = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
         self.apart[left, right] = together

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 PACKAGE_HOME = str(Path(__file__).resolve().parents[2])
 
 U64 = np.uint64
@@ -32,7 +32,7 @@ def session(spark: SparkSession) -> SparkSession:
     if PACKAGE_HOME not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_HOME])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
@@ -142,7 +142,7 @@ _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 def _power(name: str, base: int, n: int) -> np.ndarray:
     have = _powers[name]
     if len(have) < n:
-        have = np.full(max(n, 2 * len(have)), base, np.uint64)
+        have = np.full(n + n // 8, base, np.uint64)
         have[0] = 1
         _powers[name] = have = np.multiply.accumulate(have)
     return have[:n]

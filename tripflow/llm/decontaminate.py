@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import FOLD, PLAIN_WORD, RangeHash, row_bytes, sliced, stored, word_spans
 
 WINDOW_WORDS = 10
+SEGMENT_BYTES = 2 << 20
 # Test phrases searched in one pass over the index; a larger test set takes several passes.
 PHRASES_PER_PASS = 200_000
 # Candidate positions held at once within a segment.
@@ -55,7 +56,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         context = TaskContext.get()
         segment = (context.partitionId() if context else 0) << 32
         for batch in batches:
-            for part in sliced(batch, "text"):
+            for part in sliced(batch, "text", SEGMENT_BYTES):
                 hashes, first = terms_of(*row_bytes(part.column("text")))
                 order = np.argsort(hashes, kind="stable")
                 ordered = hashes[order]

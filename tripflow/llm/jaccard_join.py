@@ -8,8 +8,9 @@ matrix with its transpose holds all overlaps; these steps keep it small without
    links, a good one is faster). Sets of n and m shingles that link have an overlap of at least 3/4 of the larger,
    so their first `l` common shingles both lie among the first n - ceil(3n/4) + l of the order. With l growing
    with n, chance meetings fall below the bound.
-3. Columns of few documents give candidate pairs, whose counts of common shingles are summed and cut at l.
-   A column of many documents gives one edge per document to its smallest: no pairs are formed.
+3. Half of a link's common shingles lie in columns of few documents, or half of them in columns of many. Columns
+   of few give candidate pairs, whose counts of common shingles are summed and cut at l / 2. A column of many gives
+   one edge per document (with l / 2 such columns) to its smallest: no pairs are formed.
 4. Components of these candidates are cut into blocks of bounded size. Each block is multiplied in one task and
    gives its linked documents as a forest. Components of several blocks share a few pivot documents; then only
    what is not in the component's largest part is multiplied with the other blocks. Nothing is dropped.
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import (
@@ -48,11 +49,13 @@ PERCENT = 75
 # Texts (by hash) whose shingles are counted for the order, and how many shingles may be called frequent.
 ORDER_SAMPLE = 8
 MAX_FREQUENT = 500_000
+# One more common shingle is asked for with so many shingles of a set.
+MEET = 24
 # Columns of more documents than this give star edges in place of pairs.
 PAIR_COLUMN = 32
 # A block holds so many documents and shingles at most (or one larger document).
-BLOCK_ROWS = 1024
-BLOCK_SHINGLES = 1 << 20
+BLOCK_ROWS = 512
+BLOCK_SHINGLES = 1 << 18
 PIVOTS = 16
 # Candidate lists up to so many rows are sent to all executors (about 32 MB); longer ones are shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -83,7 +86,7 @@ def need(n: int, percent: int) -> int:
 
 def meets(n: int) -> int:
     """How many common shingles are asked for among the first ones."""
-    return 1 + n // 16
+    return 1 + n // MEET
 
 
 def _frequent(docs: DataFrame, size: int) -> np.ndarray:
@@ -147,19 +150,52 @@ def _signed(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> D
     return stored(made.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
-def _candidates(heads: DataFrame, percent: int) -> DataFrame:
+def _cells(heads: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """(s, node, n, k): the first shingles that k > 1 representatives have.
+
+    Shingles that the sample calls frequent are counted before the shuffle and joined, so that a column of very many
+    rows is split. All others are shuffled once and counted where they lie.
+    """
+    late = heads.sparkSession.sparkContext.broadcast(frequent)
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = late.value
+        for batch in batches:
+            head = batch.column("head")
+            x = head.flatten().to_numpy().view(np.uint64)
+            common = f[np.minimum(np.searchsorted(f, x), len(f) - 1)] == x if len(f) else np.zeros(len(x), bool)
+            # The order puts frequent ones last: each list is cut in two.
+            ends = np.cumsum(np.concatenate([[0], np.asarray(head.value_lengths())]))
+            rare = np.concatenate([[0], np.cumsum(~common)])[ends]
+            often = np.concatenate([[0], np.cumsum(common)])[ends]
+            lists = lambda at, mask: pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(x[mask].view(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("n"), lists(rare, ~common), lists(often, common)], ["node", "n", "rare", "often"]
+            )
+
+    parted = heads.mapInArrow(known, "node long, n int, rare array<long>, often array<long>")
+    rare = parted.select("node", "n", F.explode("rare").alias("s"))
+    rare = rare.withColumn("k", F.count("*").over(Window.partitionBy("s"))).where("k > 1")
+    often = parted.select("node", "n", F.explode("often").alias("s"))
+    shared = often.groupBy("s").agg(F.count("*").alias("k")).where("k > 1")
+    return stored(rare.unionByName(often.join(shared, "s")), "cells")
+
+
+def _candidates(cells: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between representatives such that every link lies inside a component of them."""
-    flat = heads.select("node", "n", F.explode("head").alias("s"))
-    shared = flat.groupBy("s").agg(F.count("*").alias("k")).where("k > 1")
-    cells = stored(flat.join(shared, "s"), "cells")
     few = cells.where(F.col("k") <= PAIR_COLUMN)
     left = few.select("s", F.col("node").alias("a"), F.col("n").alias("na"))
     right = few.select("s", F.col("node").alias("b"), F.col("n").alias("nb"))
     near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     pairs = left.join(right, "s").where((F.col("a") < F.col("b")) & near)
-    least = (F.floor(F.least("na", "nb") / 16) + 1).cast("long")
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.min(least).alias("l")).where("c >= l")
+    least = (F.floor(F.least("na", "nb") / MEET) + 1).cast("long")
+    # A link has `l` common shingles here: half of them in columns of few documents, or half of them in the others.
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.min(least).alias("l")).where("2 * c >= l")
     many = cells.where(F.col("k") > PAIR_COLUMN)
+    # The smallest set that a set of n may link with decides how many that are at least.
+    fewest = F.floor(F.ceil(F.col("n") * percent / 100) / MEET) + 1
+    able = many.groupBy("node").agg(F.count("*").alias("c"), F.max("n").alias("n")).where(2 * F.col("c") >= fewest)
+    many = stored(many.join(able.select("node"), "node"), "many")
     stars = many.join(many.groupBy("s").agg(F.min("node").alias("b")), "s").where("node <> b")
     return counted.select("a", "b").unionByName(stars.select(F.col("node").alias("a"), "b").distinct())
 
@@ -257,11 +293,31 @@ def _multiplied(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(_block_links(percent), "cluster long, node long, label long")
 
 
-def _links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
-    """(node, label) of documents that link with a smaller one, from members (node, n, cluster, doc_id, text_key)."""
+def _block_counts(members: DataFrame) -> DataFrame:
     sizes = members.groupBy("cluster").agg(F.count("*").alias("rows"), F.sum("n").alias("cells"))
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("cells") / BLOCK_SHINGLES)).cast("int")
-    sizes = stored(sizes.select("cluster", "rows", blocks.alias("blocks")), "clusters")
+    return sizes.select("cluster", "rows", blocks.alias("blocks"))
+
+
+def _by_size(members: DataFrame, percent: int) -> DataFrame:
+    """Clusters of several blocks, cut by size: sets that link are in the same or in neighbouring bands.
+
+    A band spans the factor by which linked sets may differ; a document goes to the two windows of two bands
+    that it lies in, under which every pair that may link meets.
+    """
+    large = stored(_block_counts(members).where("blocks > 1").select("cluster", F.lit(1).alias("_large")), "large")
+    band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("long")
+    windows = F.when(F.col("_large") == 1, F.array(band, band + 1)).otherwise(F.array(F.lit(-1).cast("long")))
+    dealt = members.join(large, "cluster", "left").withColumn("_window", F.explode(windows))
+    # Windows of one cluster are told apart by a hash; 64 bits keep two of them from meeting.
+    named = F.when(F.col("_window") >= 0, F.xxhash64("cluster", "_window")).otherwise(F.col("cluster"))
+    return dealt.withColumn("cluster", named).drop("_large", "_window")
+
+
+def _links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, label) of documents that link with a smaller one, from members (node, n, cluster, doc_id, text_key)."""
+    members = _by_size(members, percent)
+    sizes = stored(_block_counts(members), "clusters")
     placed = members.join(sizes, "cluster")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     pivot = F.pmod(F.xxhash64("node", F.lit("pivot")), F.greatest(F.lit(1), F.floor(F.col("rows") / PIVOTS))) == 0
@@ -274,15 +330,21 @@ def _links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> Data
     inside = stored(_multiplied(once, percent), "links")
     several = placed.where("blocks > 1")
     if several.isEmpty():
-        return inside.select("node", "label")
+        return components(inside.select(F.col("node").alias("a"), F.col("label").alias("b"))).where("node <> label")
     # Parts of clusters that span blocks: join what the pivots have tied together.
     spanning = sizes.where("blocks > 1").select("cluster")
     tied = inside.join(spanning, "cluster").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    # Documents of two windows are tied in both; a window's parts are named by the components of all.
     parts = several.join(components(tied), "node", "left").withColumn("label", F.coalesce("label", "node"))
     parts = stored(parts, "parts")
-    by_part = parts.groupBy("cluster", "label").agg(F.count("*").alias("c"))
-    main = by_part.groupBy("cluster").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
-    main = main.withColumn("groups", F.ceil((F.col("all") - F.col("most")) / BLOCK_ROWS).cast("int")).where("groups > 0")
+    by_part = parts.groupBy("cluster", "label").agg(F.count("*").alias("c"), F.sum("n").alias("cells"))
+    main = by_part.groupBy("cluster").agg(
+        F.max_by("label", F.struct("c", "label")).alias("main"),
+        (F.sum("c") - F.max("c")).alias("rows"),
+        (F.sum("cells") - F.max_by("cells", F.struct("c", "label"))).alias("cells"),
+    )
+    groups = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("cells") / BLOCK_SHINGLES)).cast("int")
+    main = main.withColumn("groups", groups).where("rows > 0")
     parts = parts.join(main.select("cluster", "main", "groups"), "cluster")
     parts = stored(parts.withColumn("minor", F.col("label") != F.col("main")).drop("n", "pivot", "label", "main"), "minors")
     rest = _with_sets(docs, parts, size)
@@ -292,8 +354,8 @@ def _links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> Data
     visiting = rest.where("minor").select("cluster", "node", "shingles", F.explode(every_block).alias("block"), group.alias("part"))
     across = stored(_multiplied(at_home.unionByName(visiting), percent), "across")
     tied = tied.unionByName(across.select(F.col("node").alias("a"), F.col("label").alias("b")))
-    single = inside.join(spanning, "cluster", "left_anti").select("node", "label")
-    return single.unionByName(components(tied).where("node <> label"))
+    single = inside.join(spanning, "cluster", "left_anti").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return components(tied.unionByName(single)).where("node <> label")
 
 
 def near_duplicates(
@@ -302,11 +364,14 @@ def near_duplicates(
     """doc_id, text_key (hash of the text), n_shingles and component_id, one row per input row."""
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     narrow = narrow.withColumn("text_key", F.xxhash64("text"))
-    rows = _signed(narrow, _frequent(narrow, size), size, percent)
+    frequent = _frequent(narrow, size)
+    rows = _signed(narrow, frequent, size, percent)
     classes = rows.where("n > 0").groupBy("hi", "lo").agg(F.min("row").alias("node"), F.min("doc_id").alias("first_id"))
     classes = stored(classes, "classes")
-    heads = rows.withColumnRenamed("row", "node").join(classes.select("node"), "node")
-    clusters = components(_candidates(heads.select("node", "n", "head"), percent))
+    nodes = classes.select("node")
+    nodes = F.broadcast(nodes) if classes.count() <= BROADCAST_ROWS else nodes
+    heads = rows.select(F.col("row").alias("node"), "n", "head").join(nodes, "node")
+    clusters = components(_candidates(_cells(heads, frequent), percent))
     members = clusters.withColumnRenamed("label", "cluster").join(
         rows.select(F.col("row").alias("node"), "n", "doc_id", "text_key"), "node"
     )

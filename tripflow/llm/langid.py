@@ -33,7 +33,7 @@ ROWS_PER_LANGUAGE = 2000
 FILTER_BITS = 18
 # An n-gram belongs to a language when at least this share of its sampled texts (and two of them) has it.
 MIN_TEXT_SHARE = 0.002
-SLICE_CHARS = 1 << 19
+SLICE_CHARS = 1 << 18
 
 _letters: list[np.ndarray] = []
 _STEP = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
