@@ -37,6 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     empty = groups.where("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     wanted = stored(heads.select(F.col("component_id").alias("_id"), "_key").unionByName(empty.distinct()), "wanted")
     same = docs["doc_id"].eqNullSafe(wanted["_id"]) & (F.xxhash64(docs["text"]) == wanted["_key"])
+    # A list of checked size goes to all executors and leaves the texts in place; a longer one is shuffled.
+    wanted = F.broadcast(wanted) if wanted.count() <= jaccard_join.BROADCAST_ROWS else wanted
     return _one_of_each(docs.join(wanted, same, "left_semi"))
 
 
@@ -58,6 +60,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     hits = decontaminate.exact_hits(decontaminate.build_index(docs), benchmark).where("n_hit > 0")
     hits = stored(hits.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "hits")
     leaked = docs["doc_id"].eqNullSafe(hits["_id"]) & (F.xxhash64(docs["text"]) == hits["_key"])
+    hits = F.broadcast(hits) if hits.count() <= jaccard_join.BROADCAST_ROWS else hits
     return docs.join(hits, leaked, "left_anti")
 
 
