@@ -30,12 +30,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id; texts without words all stay."""
     session(spark)
-    groups = jaccard_join.near_duplicates(docs)
-    # One row of each group: its smallest id, and the smallest text hash where that id has several texts.
+    groups = jaccard_join.labelled(docs)
+    # One row of each group: its smallest id, and the smallest text hash where that id has several texts. Groups are
+    # told apart by their label: those without ids, and those that begin with the same id, share a component_id.
     heads = groups.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
-    heads = stored(heads.groupBy("component_id").agg(F.min("text_key").alias("_key")), "heads")
+    heads = heads.groupBy("component", F.col("component_id").alias("_id")).agg(F.min("text_key").alias("_key"))
+    heads = stored(heads.select("_id", "_key"), "heads")
     empty = groups.where("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    wanted = stored(heads.select(F.col("component_id").alias("_id"), "_key").unionByName(empty.distinct()), "wanted")
+    wanted = stored(heads.unionByName(empty.distinct()), "wanted")
     same = docs["doc_id"].eqNullSafe(wanted["_id"]) & (F.xxhash64(docs["text"]) == wanted["_key"])
     # A list of checked size goes to all executors and leaves the texts in place; a longer one is shuffled.
     wanted = F.broadcast(wanted) if wanted.count() <= jaccard_join.BROADCAST_ROWS else wanted

@@ -358,10 +358,10 @@ def _links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> Data
     return components(tied.unionByName(single)).where("node <> label")
 
 
-def near_duplicates(
+def labelled(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """doc_id, text_key (hash of the text), n_shingles and component_id, one row per input row."""
+    """The columns of `near_duplicates` and `component`, one value per component; null for texts without shingles."""
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     narrow = narrow.withColumn("text_key", F.xxhash64("text"))
     frequent = _frequent(narrow, size)
@@ -379,9 +379,20 @@ def near_duplicates(
     # Name each component by its smallest id; classes outside all links keep their own.
     named = classes.join(links, "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    named = stored(named.join(names, "label").select("hi", "lo", "component_id"), "named")
+    named = stored(named.join(names, "label").select("hi", "lo", "component_id", "label"), "named")
     out = rows.select("doc_id", "text_key", "n", "hi", "lo").join(named, ["hi", "lo"], "left")
     return out.select(
         "doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.col("label").alias("component"),
     )
+
+
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """doc_id, text_key (hash of the text), n_shingles and component_id, one row per input row.
+
+    Components whose rows have no id, or that begin with the same id, share a component_id; `labelled` tells them apart.
+    """
+    return labelled(docs, doc_id, text, size, percent).drop("component")
