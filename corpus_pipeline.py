@@ -14,16 +14,17 @@ from tripflow.llm import decontaminate, jaccard_join, langid, pii
 from tripflow.llm.common import free_name, session, stored
 from tripflow.llm.queries import encoded
 
-# A document is rejected when so small a share of its n-grams is known in the language it fits best.
+# A document is rejected when a smaller share of its n-grams is known in the language it fits best. A text of one
+# letter has no n-gram to measure and stays.
 LEAST_KNOWN_SHARE = 0.2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have letters and whose n-grams belong to a known language."""
+    """Documents that have letters and whose n-grams, where they have any, belong to a known language."""
     session(spark)
-    added = tuple(free_name(docs.columns, x) for x in ("lang_pred", "score"))
+    added = tuple(free_name(docs.columns, x) for x in ("lang_pred", "score", "n_grams"))
     found = langid.predict(docs, langid.fit(docs), keep=tuple(docs.columns), added=added)
-    known = (F.col(added[0]) != langid.UNKNOWN) & (F.col(added[1]) >= LEAST_KNOWN_SHARE)
+    known = (F.col(added[0]) != langid.UNKNOWN) & ((F.col(added[1]) >= LEAST_KNOWN_SHARE) | (F.col(added[2]) == 0))
     return found.where(known).select(docs.columns)
 
 

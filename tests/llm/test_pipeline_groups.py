@@ -21,3 +21,13 @@ def test_groups_that_share_an_id_or_have_none_each_keep_a_document(text_spark):
     got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(text_spark, frame, "").collect()]
     assert sorted(t[0] for _, t in got) == ["a", "b", "c", "d", "e", "f"]
     assert {(i, t[0]) for i, t in got} == {(None, "a"), (None, "b"), (None, "c"), (1, "d"), (1, "e"), (7, "f")}
+
+
+def test_texts_without_n_grams_keep_their_place(text_spark):
+    rows = [(k, "the cat and the dog went over the hill to the sea", "en") for k in range(30)]
+    rows += [(50, "A.", "en"), (51, " b ", "en"), (52, "é", "fr"), (60, "12 .", "en"), (61, "", "en"), (62, None, "en")]
+    rows += [(70, "qqxzk wvvjk zzqpx kkjqw xxzvq", None)]
+    frame = text_spark.createDataFrame([(i, t, lang, "s", 1) for i, t, lang in rows], SCHEMA)
+    kept = corpus_pipeline.language_id(text_spark, frame, "")
+    assert kept.columns == frame.columns
+    assert {r["doc_id"] for r in kept.collect()} == {*range(30), 50, 51, 52}

@@ -110,12 +110,16 @@ class LanguageFilter:
         return np.minimum(corrected, n[:, None]), n, has_letter
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        return self.judged(texts)[:2]
+
+    def judged(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Per text the language, its score, and the number of n-grams that the score is measured on."""
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         counts, n, has_letter = self.counts(texts)
         best = counts.argmax(axis=1)
         share = np.where(has_letter, counts[np.arange(len(texts)), best] / np.maximum(n, 1), 0.0)
-        return [self.languages[k] if ok else UNKNOWN for k, ok in zip(best, has_letter, strict=True)], share
+        return [self.languages[k] if ok else UNKNOWN for k, ok in zip(best, has_letter, strict=True)], share, n
 
 
 def text_slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[list[str]]:
@@ -207,25 +211,31 @@ def predict(
     model: LanguageFilter,
     text: str = "text",
     keep: tuple[str, ...] = ("doc_id",),
-    added: tuple[str, str] = ("lang_pred", "score"),
+    added: tuple[str, ...] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """Columns `keep` and the predicted language and its score, one row per input row."""
+    """Columns `keep` and the predicted language and its score, one row per input row.
+
+    With a third name in `added`, also the number of n-grams of the text: a score of 0 on none says nothing.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     body = free_name([*keep, *added], "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = [], []
+            langs, scores, grams = [], [], []
             for part in text_slices(batch.column(body).to_pylist()):
-                some, share = shared.value.predict(part)
+                some, share, n = shared.value.judged(part)
                 langs += some
                 scores += share.tolist()
+                grams += n.tolist()
+            found = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(grams, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                [*(batch.column(c) for c in keep), *found[: len(added)]],
                 [*keep, *added],
             )
 
+    kinds = (T.StringType(), T.DoubleType(), T.LongType())
     schema = T.StructType(
-        [*(docs.schema[c] for c in keep), T.StructField(added[0], T.StringType()), T.StructField(added[1], T.DoubleType())]
+        [*(docs.schema[c] for c in keep), *[T.StructField(a, k) for a, k in zip(added, kinds, strict=False)]]
     )
     return docs.select(*keep, F.col(text).alias(body)).mapInArrow(run, schema)
