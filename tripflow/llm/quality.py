@@ -4,7 +4,8 @@ Each document gets a few integer measures. Three ratios of them are summarised p
 quantile sketches: counts of a fixed-width bucketing of the ratio, so that sketches of shards, sources or days
 merge by adding counts, give the same result in any order, and place a quantile within one bucket width.
 A document passes when no ratio lies far beyond its own group's upper quartile; a group with few documents
-borrows the sketch of its language, and that of all documents where the language is small too.
+borrows the sketch of its language, and that of all documents where the language is small too. No fence is below
+the ratio's fixed `slack`: where most documents have ratio 0, as on the test tables, the slack alone decides.
 
 Defined results: a null or empty text has zero measures and fails the base rule; null language or source is a
 group of its own; repeated rows count as often as they occur; an empty table gives an empty table; columns
