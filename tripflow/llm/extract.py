@@ -3,8 +3,12 @@
 Text nodes are gathered per root-to-leaf path of block elements. A path's text ratio is its unlinked characters per
 node, its punctuation ratio the punctuation marks per node. Both are smoothed along the order in which
 paths first occur, multiplied, and cut at a share of their spread: paths above it are content. The
-page's main element is the smallest one that holds nearly all content nodes; its text is returned block
-by block, without elements that are never article text (navigation, forms, scripts, adverts, comments).
+page's main element is the smallest one that holds nearly all content nodes. Of its blocks, those on content paths
+stay, and so do headings and runs of one path that are not mostly links; runs of links go.
+
+Elements and roles that are never article text (navigation, forms, scripts) are left out. Names are a prior: an
+element whose class or id is a listed word (`comments`) goes unless it holds the first article or nearly all text; one
+whose class or id has a listed word among others (`content-search`) only where none of its paths is content either.
 
 Defined results: a null, empty or textless page gives the empty string; broken markup is read as far as it goes (an
 unclosed element ends with its parent); repeated rows give equal results; an empty table gives an empty
@@ -16,6 +20,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +32,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes iframe noembed".split())
 CLOSES = {
@@ -64,6 +70,16 @@ _SPACE = re.compile(r"[ \t\n\r\f\v\x85\xa0  -     　]+")
 SMOOTHING = np.array([0.25, 0.5, 0.25])
 THRESHOLD = 0.2
 MAIN_SHARE = 0.8
+WHOLE, PART = 2, 1
+
+
+def _suspect(value: str, outer: bool) -> int:
+    """WHOLE where a token of a class or id is a listed word, PART where one only contains it among others."""
+    listed = lambda w: NEVER_NAME.match(w) or (outer and OUTER_NAME.match(w))
+    tokens = value.split()
+    if any(listed(t) for t in tokens):
+        return WHOLE
+    return PART if any(listed(w) for t in tokens for w in _WORDS.split(t)) else 0
 
 
 class Page:
@@ -73,13 +89,18 @@ class Page:
         self.tag, self.parent, self.dropped, self.path = ["#"], [-1], [False], [""]
         # Per text node: element, block number, decoded text, whether it is linked.
         self.nodes: list[tuple[int, int, str, bool]] = []
+        # Elements with a listed name.
+        self.named: dict[int, int] = {}
         self._read(source)
+        if self.named:
+            self._drop_named()
+        self.content = self.content_paths()
 
     def _open(self, stack: list[int], tag: str, attributes: str) -> None:
         up = stack[-1]
         inside_article = any(self.tag[e] in ("article", "main") for e in stack)
         drop = self.dropped[up] or tag in NEVER or (tag == "header" and not inside_article)
-        label = tag
+        label, named = tag, 0
         if attributes and not drop:
             for kind, *values in _NAMES.findall(attributes):
                 value = next((v for v in values if v), "").lower()
@@ -87,11 +108,18 @@ class Page:
                 if kind == "role":
                     drop = drop or value in NEVER_ROLE
                     continue
-                words = _WORDS.split(value)
-                if tag not in ("html", "body", "article", "main"):
-                    drop = drop or any(NEVER_NAME.match(w) or (not inside_article and OUTER_NAME.match(w)) for w in words)
+                found = 0
+                # The id of a heading is an anchor.
+                if tag not in ("html", "body", "article", "main") and not (kind == "id" and tag in HEADINGS):
+                    found = _suspect(value, not inside_article)
+                    found = 0 if found == PART and tag in HEADINGS else found
+                named = max(named, found)
                 if kind == "class":
-                    label = f"{tag}.{value}"
+                    label = f"{label}.{value}"
+                elif kind == "id" and found:
+                    label = f"{label}#{value}"
+        if named and not drop:
+            self.named[len(self.tag)] = named
         self.tag.append(tag)
         self.parent.append(up)
         self.dropped.append(drop)
@@ -145,6 +173,37 @@ class Page:
                 continue
             self._open(stack, tag, attributes)
 
+    def _drop_named(self) -> None:
+        """Drop what its name marks, but no ancestor of the main element and no content under a merely similar name."""
+        weight = [0] * len(self.tag)
+        for element, _, text, linked in self.nodes:
+            if not self.dropped[element] and not linked:
+                weight[element] += len(text.strip())
+        for e in range(len(self.tag) - 1, 0, -1):
+            weight[self.parent[e]] += weight[e]
+        spared = set()
+        at = next((e for e in range(1, len(self.tag)) if self.tag[e] in ("article", "main") and not self.dropped[e]), -1)
+        if at < 0:
+            spared = {e for e in self.named if weight[e] >= MAIN_SHARE * weight[0] > 0}
+        while at > 0:
+            spared.add(at)
+            at = self.parent[at]
+        self._drop({e for e, how in self.named.items() if how == WHOLE and e not in spared})
+        partly = {e for e, how in self.named.items() if how == PART and e not in spared and not self.dropped[e]}
+        if partly:
+            content = self.content_paths()
+            holds = [False] * len(self.tag)
+            for element, _, text, _ in self.nodes:
+                if not self.dropped[element] and text.strip() and self.path[element] in content:
+                    holds[element] = True
+            for e in range(len(self.tag) - 1, 0, -1):
+                holds[self.parent[e]] |= holds[e]
+            self._drop({e for e in partly if not holds[e]})
+
+    def _drop(self, tops: set[int]) -> None:
+        for e in range(1, len(self.tag)):
+            self.dropped[e] = self.dropped[e] or e in tops or self.dropped[self.parent[e]]
+
     def content_paths(self) -> set[str]:
         """Paths whose smoothed, fused ratio reaches the threshold."""
         order: dict[str, list[float]] = {}
@@ -166,7 +225,7 @@ class Page:
 
     def main_element(self) -> int:
         """The smallest sectioning element that holds nearly all characters of content nodes."""
-        content = self.content_paths()
+        content = self.content
         weight, titled = [0] * len(self.tag), [False] * len(self.tag)
         for element, _, text, _ in self.nodes:
             if not self.dropped[element] and self.path[element] in content:
@@ -191,18 +250,34 @@ class Page:
         inside = [False] * len(self.tag)
         for e in range(top, len(self.tag)):
             inside[e] = e == top or (self.parent[e] >= top and inside[self.parent[e]])
-        blocks: list[str] = []
-        current, parts = -1, []
-        for element, block, text, _ in self.nodes:
+        # Per block: its text, whether it stays on its own, its path, and its linked and unlinked characters.
+        blocks: list[tuple[str, bool, str, int, int]] = []
+        current, parts, stays, path, size = -1, [], False, "", [0, 0]
+
+        def close() -> None:
+            text = _SPACE.sub(" ", "".join(parts)).strip(" ")
+            if text:
+                blocks.append((text, stays, path, size[1], size[0]))
+
+        for element, block, text, linked in self.nodes:
             if not inside[element] or self.dropped[element]:
                 continue
             if block != current:
-                blocks.append("".join(parts))
-                current, parts = block, []
+                close()
+                current, parts, stays, path, size = block, [], False, self.path[element], [0, 0]
             parts.append(text)
-        blocks.append("".join(parts))
-        tidy = (_SPACE.sub(" ", b).strip(" ") for b in blocks)
-        return "\n".join(b for b in tidy if b)
+            stays = stays or self.path[element] in self.content or self.tag[element] in HEADINGS
+            size[linked] += len(text.strip())
+        close()
+        if not self.content:
+            return "\n".join(text for text, *_ in blocks)
+        kept: list[str] = []
+        for (own, _), run in groupby(blocks, key=lambda x: (x[1], "" if x[1] else x[2])):
+            run = list(run)
+            # What lies beside content stays with it, unless a run of one path is mostly links.
+            if own or sum(x[3] for x in run) <= sum(x[4] for x in run):
+                kept += [x[0] for x in run]
+        return "\n".join(kept)
 
 
 def main_text(source: str | None) -> str:
