@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, decontaminate, extract, jaccard_join, langid, pii, quality, suffix_dedup, toxicity
+from tripflow.llm import bpe, decontaminate, extract, jaccard_join, langid, merkle, pieces, pii, quality, suffix_dedup, toxicity
 from tripflow.llm.common import crc_rest, session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,63 @@ FROM d LEFT JOIN s USING (doc_id)
 def op10(table) -> DataFrame:
     cut = suffix_dedup.remove_repeats(table("documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", sha(F.col("kept")).alias("kept_sha256"))
+
+
+@query("op11_sentencepiece")
+def op11(table) -> DataFrame:
+    import public_tokenizers as public
+
+    model = public.path("piece_bpe_32k.model")
+    ids = pieces.encode(table("documents"), model)
+    digests = ids.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        sha(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        "ids",
+    )
+    kept = ("doc_id", "n_tokens", "ids_sha256")
+    return pieces.decode(digests, model, keep=kept).select(*kept, sha(F.col("decoded")).alias("decoded_sha256"))
+
+
+# crc32 of ASCII texts: the table of bytes first, then one step per byte.
+CRC_TABLE_SQL = """SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+      FROM (SELECT unnest(range(256)) AS i)"""
+MERKLE_SQL = rf"""
+WITH RECURSIVE crc AS ({CRC_TABLE_SQL}),
+d AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(x) + 1),
+             lambda k: CAST(ascii(substr(x, k, 1)) AS BIGINT))), lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8))) % 2 = 0 AS cut
+      FROM (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') AS x FROM documents) CROSS JOIN crc),
+f AS (SELECT doc_id, source, cut, text, concat(
+             coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+             coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head FROM d),
+e AS (SELECT doc_id, coalesce('=' || source, '') AS s, sha256(concat(head, coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+             sha256(concat(head, coalesce(strlen(u) || ':' || u, '-'))) AS changed
+      FROM (SELECT *, CASE WHEN cut THEN replace(text, chr(10), '') ELSE text END AS u FROM f)),
+a AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+             count(*) OVER (PARTITION BY s) AS n FROM e),
+v AS (SELECT 0 AS l, s, i, n, leaf AS h FROM a
+      UNION ALL SELECT l + 1, s, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM v WHERE n > 1 GROUP BY l, s, i // 3, n),
+b AS MATERIALIZED (SELECT s, h AS subroot, row_number() OVER (ORDER BY encode(s)) - 1 AS i, count(*) OVER () AS n FROM v WHERE n = 1),
+w AS (SELECT 0 AS l, i, n, subroot AS h FROM b
+      UNION ALL SELECT l + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM w WHERE n > 1 GROUP BY l, i // 3, n),
+o AS (SELECT a.s, a.i, 0 AS tree, v.l, v.i AS j, v.h, a.i // CAST(pow(3, v.l) AS BIGINT) AS own FROM a JOIN v
+      ON v.s = a.s AND v.n > 1 AND v.i // 3 = a.i // CAST(pow(3, v.l + 1) AS BIGINT)
+      UNION ALL SELECT a.s, a.i, 1, w.l, w.i, w.h, b.i // CAST(pow(3, w.l) AS BIGINT) FROM a JOIN b USING (s) JOIN w
+      ON w.n > 1 AND w.i // 3 = b.i // CAST(pow(3, w.l + 1) AS BIGINT)),
+p AS MATERIALIZED (SELECT s, i, row_number() OVER (PARTITION BY s, i ORDER BY tree, l) - 1 AS k,
+             coalesce(string_agg(h, '' ORDER BY j) FILTER (j < own), '') AS pre,
+             coalesce(string_agg(h, '' ORDER BY j) FILTER (j > own), '') AS post FROM o GROUP BY s, i, tree, l),
+g AS (SELECT s, i, 0 AS k, changed AS h FROM a
+      UNION ALL SELECT g.s, g.i, g.k + 1, sha256(concat(p.pre, g.h, p.post)) FROM g JOIN p ON p.s = g.s AND p.i = g.i AND p.k = g.k),
+z AS (SELECT s, i, arg_max(h, k) AS h FROM g GROUP BY s, i),
+q AS (SELECT s, i, string_agg(pre || post, '' ORDER BY k) AS proof FROM p GROUP BY s, i)
+SELECT a.doc_id, a.leaf, b.subroot, r.h AS root, sha256(coalesce(q.proof, '')) AS proof_sha256, z.h AS folded_root, z.h = r.h AS verified
+FROM a JOIN b USING (s) JOIN (SELECT h FROM w WHERE n = 1) r ON true JOIN z ON z.s = a.s AND z.i = a.i
+LEFT JOIN q ON q.s = a.s AND q.i = a.i
+"""
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def op13(table) -> DataFrame:
+    return merkle.manifest(table("documents"))
