@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, decontaminate, extract, jaccard_join, langid, merkle, pieces, pii, quality, suffix_dedup, toxicity
+from tripflow.llm import bpe, decontaminate, extract, jaccard_join, langid, merkle, pieces, pii, quality, spelling, suffix_dedup, toxicity
 from tripflow.llm.common import crc_rest, session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,6 +230,36 @@ def op11(table) -> DataFrame:
 CRC_TABLE_SQL = """SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
         lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
       FROM (SELECT unnest(range(256)) AS i)"""
+VARIANT_SQL = rf"""
+WITH RECURSIVE crc AS ({CRC_TABLE_SQL}),
+o AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[A-Za-z\x{{00C0}}-\x{{00FF}}]+') AS w FROM documents),
+u AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(w) AS w FROM o) WHERE length(w) >= 6 GROUP BY doc_id, w),
+x AS (SELECT w, n, hex(encode(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', w))) AS x FROM u),
+h AS (SELECT w, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, len(x), 2),
+        lambda k: CAST(16 * (strpos('0123456789ABCDEF', substr(x, k, 1)) - 1) + strpos('0123456789ABCDEF', substr(x, k + 1, 1)) - 1 AS BIGINT))),
+        lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8))) AS h FROM x CROSS JOIN crc),
+v AS (SELECT CASE WHEN h % 199 = 0 THEN concat(substr(w, 1, h % length(w)), substr(w, h % length(w) + 2)) ELSE w END AS w, n FROM h),
+b AS MATERIALIZED (SELECT w, CAST(sum(n) AS BIGINT) AS n FROM v WHERE length(w) >= 6 GROUP BY w HAVING sum(n) >= 5),
+d AS MATERIALIZED (SELECT w, i, concat(substr(w, 1, i - 1), substr(w, i + 1)) AS d
+        FROM (SELECT w, unnest(range(1, length(w) + 1)) AS i FROM b)),
+p AS MATERIALIZED (SELECT d.w AS a, b.w AS b FROM d JOIN b ON b.w = d.d UNION SELECT b.w, d.w FROM d JOIN b ON b.w = d.d
+        UNION SELECT d.w, e.w FROM d JOIN d e ON e.i = d.i AND e.d = d.d AND e.w <> d.w),
+r AS (SELECT p.a, p.b, y.n, row_number() OVER (PARTITION BY p.a ORDER BY y.n DESC, encode(p.b)) AS k, count(*) OVER (PARTITION BY p.a) AS c
+        FROM p JOIN b y ON y.w = p.b),
+f AS MATERIALIZED (SELECT b.w, b.n, coalesce(r.c, 0) AS n_near, CASE WHEN r.n >= 5 * b.n THEN r.b END AS form,
+        CASE WHEN r.n >= 5 * b.n THEN r.n END AS form_n FROM b LEFT JOIN r ON r.a = b.w AND r.k = 1),
+g AS (SELECT w, w AS root, 0 AS k FROM f UNION ALL SELECT g.w, f.form, g.k + 1 FROM g JOIN f ON f.w = g.root WHERE f.form IS NOT NULL)
+SELECT f.w AS word, f.form, arg_max(g.root, g.k) AS root, f.n, f.n_near, f.form_n
+FROM f JOIN g USING (w) GROUP BY f.w, f.form, f.n, f.n_near, f.form_n
+"""
+
+
+@query("op12_spelling_variants", VARIANT_SQL)
+def op12(table) -> DataFrame:
+    return spelling.variants(table("documents"))
+
+
 MERKLE_SQL = rf"""
 WITH RECURSIVE crc AS ({CRC_TABLE_SQL}),
 d AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(x) + 1),
