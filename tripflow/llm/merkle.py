@@ -112,45 +112,45 @@ def fold(node: str, path: list[tuple[int, list[str]]]) -> str:
     return node
 
 
-def _blocks(nodes: DataFrame) -> DataFrame:
-    return nodes.withColumn("block", F.floor(F.col("idx") / FAN**HEIGHT))
+def _blocks(nodes: DataFrame, height: int) -> DataFrame:
+    return nodes.withColumn("block", F.floor(F.col("idx") / FAN**height))
 
 
-def _tops(nodes: DataFrame) -> DataFrame:
+def _tops(nodes: DataFrame, height: int) -> DataFrame:
     """The next tier: one node per superblock, with its place in the tree and the size of that tier."""
 
     def top(rows: pd.DataFrame) -> pd.DataFrame:
         n, rows = int(rows["n"].iloc[0]), rows.sort_values("idx")
-        node = reduce_block(rows["leaf"].tolist(), min(HEIGHT, _height(n)))[-1][0]
-        tier = -(-n // FAN**HEIGHT)
+        node = reduce_block(rows["leaf"].tolist(), min(height, _height(n)))[-1][0]
+        tier = -(-n // FAN**height)
         return pd.DataFrame({"tree": rows["tree"].iloc[:1], "idx": rows["block"].iloc[:1], "n": [tier], "leaf": [node]})
 
-    given = _blocks(nodes).select("tree", "block", "idx", "n", "leaf")
+    given = _blocks(nodes, height).select("tree", "block", "idx", "n", "leaf")
     return given.groupBy("tree", "block").applyInPandas(top, "tree string, idx long, n long, leaf string")
 
 
-def _climb(nodes: DataFrame, name: str) -> list[DataFrame]:
+def _climb(nodes: DataFrame, name: str, height: int) -> list[DataFrame]:
     """The tiers of all trees, from the given nodes to one node per tree."""
     tiers = [nodes]
     while not tiers[-1].where("n > 1").isEmpty():
-        tiers.append(stored(_tops(tiers[-1]), name))
+        tiers.append(stored(_tops(tiers[-1], height), name))
     return tiers
 
 
-def _local(rows: pd.DataFrame, outer: pd.DataFrame):
+def _local(rows: pd.DataFrame, outer: pd.DataFrame, height: int):
     """The rows of a block in order, its levels, and the outer row with the path above it."""
     rows = rows.sort_values("idx")
-    levels = reduce_block(rows["leaf"].tolist(), min(HEIGHT, _height(int(rows["n"].iloc[0]))))
+    levels = reduce_block(rows["leaf"].tolist(), min(height, _height(int(rows["n"].iloc[0]))))
     above = outer.iloc[0]
     path = [(int(step["pos"]), list(step["siblings"])) for step in above["path"]]
     return rows, levels, above, path
 
 
-def _down(nodes: DataFrame, outer: DataFrame) -> DataFrame:
+def _down(nodes: DataFrame, outer: DataFrame, height: int) -> DataFrame:
     """(tree, idx, path, subroot, root) of each node of a tier, from the outer rows of its blocks."""
 
     def join(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
-        rows, levels, top, path = _local(rows, above)
+        rows, levels, top, path = _local(rows, above, height)
         paths = [block_path(levels, k) + path for k in range(len(rows))]
         return pd.DataFrame(
             {
@@ -162,7 +162,7 @@ def _down(nodes: DataFrame, outer: DataFrame) -> DataFrame:
             }
         )
 
-    left = _blocks(nodes).select("tree", "block", "idx", "n", "leaf").groupBy("tree", "block")
+    left = _blocks(nodes, height).select("tree", "block", "idx", "n", "leaf").groupBy("tree", "block")
     right = outer.withColumnRenamed("idx", "block").groupBy("tree", "block")
     return left.cogroup(right).applyInPandas(join, f"tree string, idx long, path {PATH}, subroot string, root string")
 
@@ -170,11 +170,11 @@ def _down(nodes: DataFrame, outer: DataFrame) -> DataFrame:
 PROVED = "doc_id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
-def _prove(nodes: DataFrame, outer: DataFrame) -> DataFrame:
+def _prove(nodes: DataFrame, outer: DataFrame, height: int) -> DataFrame:
     """The rows of the manifest: the exchange of leaves and outer rows by superblock."""
 
     def join(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
-        rows, levels, top, path = _local(rows, above)
+        rows, levels, top, path = _local(rows, above, height)
         # The part of every proof that lies above the block is the same.
         tail = "".join(chain_of(path))
         proofs, folded = [], []
@@ -194,7 +194,7 @@ def _prove(nodes: DataFrame, outer: DataFrame) -> DataFrame:
             }
         )
 
-    left = _blocks(nodes).select("tree", "block", "idx", "n", "doc_id", "leaf", "changed").groupBy("tree", "block")
+    left = _blocks(nodes, height).select("tree", "block", "idx", "n", "doc_id", "leaf", "changed").groupBy("tree", "block")
     right = outer.withColumnRenamed("idx", "block").groupBy("tree", "block")
     return left.cogroup(right).applyInPandas(join, PROVED)
 
@@ -203,28 +203,28 @@ def chain_of(path: list[tuple[int, list[str]]]) -> list[str]:
     return [sibling for _, siblings in path for sibling in siblings]
 
 
-def _descend(tiers: list[DataFrame], outer: DataFrame, name: str) -> DataFrame:
+def _descend(tiers: list[DataFrame], outer: DataFrame, name: str, height: int) -> DataFrame:
     """Outer rows for the lowest of the tiers' blocks, from those of the topmost nodes."""
     for tier in reversed(tiers):
-        outer = stored(_down(tier, outer), name)
+        outer = stored(_down(tier, outer, height), name)
     return outer
 
 
-def manifest(docs: DataFrame) -> DataFrame:
+def manifest(docs: DataFrame, height: int = HEIGHT) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified, one row per row of `docs`."""
     nodes = stored(numbered(stored(leaves(docs), "leaves"), "doc_id", "leaf"), "numbered")
-    tiers = _climb(nodes, "subtree")
+    tiers = _climb(nodes, "subtree", height)
     # The subroots are the leaves of one more tree.
     subroots = tiers[-1].select(F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("leaf"))
     forest = stored(numbered(subroots, "name"), "subroots")
-    upper = _climb(forest, "forest")
+    upper = _climb(forest, "forest", height)
     root = upper[-1].select("tree", "idx", F.from_json(F.lit("[]"), PATH).alias("path"), F.lit("").alias("subroot"), F.col("leaf").alias("root"))
-    over = _descend(upper[:-1], root, "roots")
+    over = _descend(upper[:-1], root, "roots", height)
     # The topmost node of each source, with the path from there to the root. Where every source has one leaf that is the
     # leaf itself.
     outer = forest.join(over.drop("tree", "subroot"), "idx").select(
         F.col("name").alias("tree"), F.lit(0).cast("long").alias("idx"), "path", F.col("leaf").alias("subroot"), "root"
     )
-    outer = _descend(tiers[1:-1], outer, "outer")
-    proved = _prove(nodes.withColumn("doc_id", F.col("doc_id").cast("string")), outer)
+    outer = _descend(tiers[1:-1], outer, "outer", height)
+    proved = _prove(nodes.withColumn("doc_id", F.col("doc_id").cast("string")), outer, height)
     return proved.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))

@@ -283,11 +283,14 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         index, queries = rows[rows["indexed"]], rows[~rows["indexed"]]
-        if not len(index) or not len(queries):
-            return pd.DataFrame({"word": [], "n": [], "near": [], "near_n": []})
-        left, right = near_words(index["word"].tolist(), queries["word"].tolist(), rows["side"].iloc[0] == "h")
+        left, right = [], []
+        if len(index) and len(queries):
+            left, right = near_words(index["word"].tolist(), queries["word"].tolist(), rows["side"].iloc[0] == "h")
         n, near_n = dict(zip(queries["word"], queries["n"], strict=True)), dict(zip(index["word"], index["n"], strict=True))
-        return pd.DataFrame({"word": left, "n": [n[w] for w in left], "near": right, "near_n": [near_n[w] for w in right]})
+        counts = [np.array([table[w] for w in words], np.int64) for table, words in ((n, left), (near_n, right))]
+        # Columns of a stated kind, also where nothing was found.
+        texts = [np.array(words, object) for words in (left, right)]
+        return pd.DataFrame({"word": texts[0], "n": counts[0], "near": texts[1], "near_n": counts[1]})
 
     return _dealt(words).groupBy("shard").applyInPandas(search, "word string, n long, near string, near_n long")
 
