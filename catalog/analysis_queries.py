@@ -469,7 +469,7 @@ def findings(i):
     band = F.element_at(F.array(*map(F.lit, ("warning", "good", "critical", "serious"))), F.month("metric_date") % 4 + 1)
     city = city_rows(i.daily)
     return city.select(
-        *_finding("day", band, F.col("metric_date"), F.col("trip_count"), F.lit(1.0), F.lit("day"))
+        *_finding("day", band, F.col("metric_date"), F.col("trip_count"), F.lit(1.0))
     )
 
 
