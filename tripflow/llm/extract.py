@@ -2,13 +2,17 @@
 
 Text nodes are gathered per root-to-leaf path of block elements. A path's text ratio is its unlinked characters per
 node, its punctuation ratio the punctuation marks per node. Both are smoothed along the order in which
-paths first occur, multiplied, and cut at a share of their spread: paths above it are content. The
-page's main element is the smallest one that holds nearly all content nodes. Of its blocks, those on content paths
-stay, and so do headings and runs of one path that are not mostly links; runs of links go.
+paths first occur, multiplied, and cut at a share of their spread: paths above it are content.
 
-Elements and roles that are never article text (navigation, forms, scripts) are left out. Names are a prior: an
-element whose class or id is a listed word (`comments`) goes unless it holds the first article or nearly all text; one
-whose class or id has a listed word among others (`content-search`) only where none of its paths is content either.
+A page with one `article` (or one `main`, where that has no single article) has said what its main element is, and all
+its blocks stay. On other pages the main element is the smallest one that holds nearly all content nodes; of its blocks,
+those on content paths stay, and so do headings and runs of one path that are not mostly links; runs of links go.
+
+Elements and roles that are never article text (navigation, forms, scripts) are left out. Names are a prior that never
+drops an ancestor of the main element. Inside a marked article only a class that is a listed word (`ad`) counts, and
+ids of comment threads: other ids are anchors. On other pages an element goes whose class or id begins with a listed
+word (`comments-area`, `site-header`), unless it holds nearly all text; one with a listed word further on
+(`content-search`) only where none of its paths is content.
 
 Defined results: a null, empty or textless page gives the empty string; broken markup is read as far as it goes (an
 unclosed element ends with its parent); repeated rows give equal results; an empty table gives an empty
@@ -47,7 +51,7 @@ CLOSES = {
 SECTIONS = frozenset("html body div section article main table tbody tr td center".split())
 # What is never article text, by element, role and the words of class and id.
 NEVER = frozenset(
-    "head nav aside footer form noscript template svg button select fieldset menu dialog canvas object video audio".split()
+    "head nav aside footer noscript template svg button select fieldset menu dialog canvas object video audio".split()
 )
 NEVER_ROLE = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 NEVER_NAME = re.compile(
@@ -56,6 +60,9 @@ NEVER_NAME = re.compile(
     r"|respond|disqus|related|recommended|widget|pagination|pager|login|signup|search|skip|gdpr)$"
 )
 OUTER_NAME = re.compile(r"^(?:header|masthead|topbar)$")
+# Words that say where something is, before the word that says what it is; ids of comment threads.
+PLACE_WORDS = frozenset("site page global reader user visitor top bottom left right main primary secondary wp js".split())
+THREAD_ID = re.compile(r"^(?:comments?|commentlist|disqus\w*|respond|replies)$")
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -74,12 +81,24 @@ WHOLE, PART = 2, 1
 
 
 def _suspect(value: str, outer: bool) -> int:
-    """WHOLE where a token of a class or id is a listed word, PART where one only contains it among others."""
-    listed = lambda w: NEVER_NAME.match(w) or (outer and OUTER_NAME.match(w))
-    tokens = value.split()
-    if any(listed(t) for t in tokens):
-        return WHOLE
-    return PART if any(listed(w) for t in tokens for w in _WORDS.split(t)) else 0
+    """WHOLE where a token of a class or id begins with a listed word, PART where one has it further on."""
+    listed = lambda w: bool(NEVER_NAME.match(w) or (outer and OUTER_NAME.match(w)))
+    found = 0
+    for token in value.split():
+        words = [w for w in _WORDS.split(token) if w]
+        while len(words) > 1 and words[0] in PLACE_WORDS:
+            del words[0]
+        if words and listed(words[0]):
+            return WHOLE
+        found = PART if any(map(listed, words)) else found
+    return found
+
+
+def _marked(kind: str, value: str) -> int:
+    """The same inside a marked article: whole classes, and the ids of comment threads."""
+    if kind == "id":
+        return WHOLE if THREAD_ID.match(value) else 0
+    return WHOLE if any(NEVER_NAME.match(t) for t in value.split()) else 0
 
 
 class Page:
@@ -89,10 +108,12 @@ class Page:
         self.tag, self.parent, self.dropped, self.path = ["#"], [-1], [False], [""]
         # Per text node: element, block number, decoded text, whether it is linked.
         self.nodes: list[tuple[int, int, str, bool]] = []
-        # Elements with a listed name.
+        # Elements with a listed name, and those inside of `article` or `main` by what holds there.
         self.named: dict[int, int] = {}
+        self.inner: dict[int, int] = {}
         self._read(source)
-        if self.named:
+        self.sole = self._sole_article()
+        if self.named or self.inner:
             self._drop_named()
         self.content = self.content_paths()
 
@@ -100,7 +121,8 @@ class Page:
         up = stack[-1]
         inside_article = any(self.tag[e] in ("article", "main") for e in stack)
         drop = self.dropped[up] or tag in NEVER or (tag == "header" and not inside_article)
-        label, named = tag, 0
+        # A form goes as a named element does: some pages are one form as a whole.
+        label, named, inner = tag, WHOLE if tag == "form" else 0, WHOLE if tag == "form" else 0
         if attributes and not drop:
             for kind, *values in _NAMES.findall(attributes):
                 value = next((v for v in values if v), "").lower()
@@ -113,6 +135,8 @@ class Page:
                 if tag not in ("html", "body", "article", "main") and not (kind == "id" and tag in HEADINGS):
                     found = _suspect(value, not inside_article)
                     found = 0 if found == PART and tag in HEADINGS else found
+                if tag not in ("html", "body", "main"):
+                    inner = max(inner, _marked(kind, value) if inside_article and tag not in HEADINGS else 0)
                 named = max(named, found)
                 if kind == "class":
                     label = f"{label}.{value}"
@@ -120,6 +144,8 @@ class Page:
                     label = f"{label}#{value}"
         if named and not drop:
             self.named[len(self.tag)] = named
+        if inner and not drop:
+            self.inner[len(self.tag)] = inner
         self.tag.append(tag)
         self.parent.append(up)
         self.dropped.append(drop)
@@ -181,6 +207,10 @@ class Page:
                 weight[element] += len(text.strip())
         for e in range(len(self.tag) - 1, 0, -1):
             weight[self.parent[e]] += weight[e]
+        if self.sole > 0:
+            # What lies outside is not read; inside, only what holds there counts.
+            self._drop({e for e in self.inner if self._within(e, self.sole)})
+            return
         spared = set()
         at = next((e for e in range(1, len(self.tag)) if self.tag[e] in ("article", "main") and not self.dropped[e]), -1)
         if at < 0:
@@ -200,6 +230,37 @@ class Page:
                 holds[self.parent[e]] |= holds[e]
             self._drop({e for e in partly if not holds[e]})
 
+    def _within(self, element: int, top: int) -> bool:
+        """Whether an element lies inside another one."""
+        while element > top:
+            element = self.parent[element]
+            if element == top:
+                return True
+        return False
+
+    def _sole_article(self) -> int:
+        """The one article of a page, or its one `main` where that has no single article; -1 where there is neither."""
+        filled = [False] * len(self.tag)
+        for element, _, text, _ in self.nodes:
+            if not self.dropped[element] and text.strip():
+                filled[element] = True
+        for e in range(len(self.tag) - 1, 0, -1):
+            filled[self.parent[e]] |= filled[e]
+
+        def outermost(tag: str, top: int) -> list[int]:
+            found: list[int] = []
+            for e in range(top + 1, len(self.tag)):
+                if self.tag[e] == tag and filled[e] and not self.dropped[e] and (top == 0 or self._within(e, top)):
+                    if not (found and self._within(e, found[-1])):
+                        found.append(e)
+            return found
+
+        mains = outermost("main", 0)
+        articles = outermost("article", mains[0] if len(mains) == 1 else 0)
+        if len(articles) == 1:
+            return articles[0]
+        return mains[0] if len(mains) == 1 else -1
+
     def _drop(self, tops: set[int]) -> None:
         for e in range(1, len(self.tag)):
             self.dropped[e] = self.dropped[e] or e in tops or self.dropped[self.parent[e]]
@@ -225,6 +286,8 @@ class Page:
 
     def main_element(self) -> int:
         """The smallest sectioning element that holds nearly all characters of content nodes."""
+        if self.sole > 0:
+            return self.sole
         content = self.content
         weight, titled = [0] * len(self.tag), [False] * len(self.tag)
         for element, _, text, _ in self.nodes:
@@ -269,7 +332,7 @@ class Page:
             stays = stays or self.path[element] in self.content or self.tag[element] in HEADINGS
             size[linked] += len(text.strip())
         close()
-        if not self.content:
+        if not self.content or self.sole > 0:
             return "\n".join(text for text, *_ in blocks)
         kept: list[str] = []
         for (own, _), run in groupby(blocks, key=lambda x: (x[1], "" if x[1] else x[2])):
