@@ -3,9 +3,10 @@
 Each document gets a few integer measures. Three ratios of them are summarised per language and source in
 quantile sketches: counts of a fixed-width bucketing of the ratio, so that sketches of shards, sources or days
 merge by adding counts, give the same result in any order, and place a quantile within one bucket width.
-A document passes when no ratio lies far beyond its own group's upper quartile; a group with few documents
-borrows the sketch of its language, and that of all documents where the language is small too. No fence is below
-the ratio's fixed `slack`: where most documents have ratio 0, as on the test tables, the slack alone decides.
+The sketches are of documents that pass the base rule. A document passes when no ratio lies beyond its group's limit: the
+ratio that 15 of 16 documents of the group stay within or, where that is larger, the median of those that have any, if
+at least one in 64 has (ratios are mostly zero, and what is usual in a group is no fault). No limit is fixed. A group with few documents
+borrows the sketch of its language, and that of all documents where the language is small too.
 
 Defined results: a null or empty text has zero measures and fails the base rule; null language or source is a
 group of its own; repeated rows count as often as they occur; an empty table gives an empty table; columns
@@ -26,11 +27,11 @@ SPACE_CHARS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
-# The ratio's numerator and denominator, in thousandths; `slack` is what any group may reach.
+# The ratio's numerator and denominator, in thousandths.
 RATIOS = {
-    "symbols": ("n_symbols", "word_chars", 50),
-    "dup_lines": ("n_dup_lines", "n_lines", 300),
-    "repeats": ("n_repeat_words", "n_words", 150),
+    "symbols": ("n_symbols", "word_chars"),
+    "dup_lines": ("n_dup_lines", "n_lines"),
+    "repeats": ("n_repeat_words", "n_words"),
 }
 
 
@@ -40,8 +41,10 @@ class Rules:
 
     min_words: int = 10
     max_repeat_percent: int = 20
-    # Upper fence: third quartile plus so many times the distance between the quartiles.
-    fence: int = 3
+    # The share of a group's documents (numerator, denominator) that its limits leave in, ratio by ratio.
+    within: tuple[int, int] = (15, 16)
+    # A ratio is usual in a group where one document in so many has any of it.
+    usual: int = 64
     # Groups with fewer documents use the next wider sketch.
     min_group: int = 200
 
@@ -130,7 +133,7 @@ def _permille(part: str, whole: str) -> Column:
 def sketches(measured: DataFrame, group: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """One row per group, ratio and bucket, with the number of documents; merge by adding `n`."""
     ratios = F.array(
-        *[F.struct(F.lit(r).alias("ratio"), _permille(a, b).alias("bucket")) for r, (a, b, _) in RATIOS.items()]
+        *[F.struct(F.lit(r).alias("ratio"), _permille(a, b).alias("bucket")) for r, (a, b) in RATIOS.items()]
     )
     rows = measured.select(*group, F.explode(ratios).alias("_r"))
     return rows.groupBy(*group, F.col("_r.ratio").alias("ratio"), F.col("_r.bucket").alias("bucket")).agg(
@@ -144,7 +147,7 @@ def merge(sketch: DataFrame, *group: str) -> DataFrame:
 
 
 def fences(sketch: DataFrame, rules: Rules, *group: str) -> DataFrame:
-    """Upper fences per group, one column per ratio, with the number of documents.
+    """Limits per group, one column per ratio, with the number of documents.
 
     A group has at most 1001 buckets a ratio (a ratio above 1 falls into the last), so gathering them is bounded.
     """
@@ -155,32 +158,34 @@ def fences(sketch: DataFrame, rules: Rules, *group: str) -> DataFrame:
         F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("b")
     )
 
-    def quantile(quarter: int) -> Column:
-        # The first bucket whose running count reaches the quarter of all.
+    def quantile(buckets: Column, part: int, whole: int) -> Column:
+        """The first bucket whose running count reaches the part of all."""
+        total = F.aggregate(buckets, F.lit(0).cast("long"), lambda c, x: c + x["n"])
         state = F.struct(F.lit(0).cast("long").alias("c"), F.lit(None).cast("long").alias("q"))
 
-        def step(s: Column, x: Column) -> Column:
+        def step(s: Column, x: Column, enough: Column) -> Column:
             c = s["c"] + x["n"]
-            return F.struct(
-                c.alias("c"), F.when(s["q"].isNull() & (4 * c >= quarter * F.col("n")), x["bucket"]).otherwise(s["q"]).alias("q")
-            )
+            reached = s["q"].isNull() & (whole * c >= enough)
+            return F.struct(c.alias("c"), F.when(reached, x["bucket"]).otherwise(s["q"]).alias("q"))
 
-        return F.aggregate("b", state, step, lambda s: s["q"])
+        return _bind(part * total, lambda enough: F.aggregate(buckets, state, lambda s, x: step(s, x, enough), lambda s: s["q"]))
 
-    fence = each.select(*group, "ratio", "n", quantile(1).alias("q1"), quantile(3).alias("q3")).withColumn(
-        "fence", F.col("q3") + rules.fence * (F.col("q3") - F.col("q1"))
-    )
-    picks = [
-        F.max(F.when(F.col("ratio") == r, F.greatest("fence", F.lit(slack)))).alias(f"max_{r}")
-        for r, (_, _, slack) in RATIOS.items()
-    ]
+    upper = quantile(F.col("b"), *rules.within)
+    some = F.filter("b", lambda x: x["bucket"] > 0)
+    having = F.aggregate(some, F.lit(0).cast("long"), lambda c, x: c + x["n"])
+    usual = F.when(rules.usual * having >= F.col("n"), quantile(some, 1, 2))
+    fence = each.withColumn("fence", F.greatest(upper, F.coalesce(usual, F.lit(0).cast("long"))))
+    picks = [F.max(F.when(F.col("ratio") == r, F.col("fence"))).alias(f"max_{r}") for r in RATIOS]
     return fence.groupBy(*group).agg(F.max("n").alias("n"), *picks)
 
 
 def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
     """doc_id, the measures, base_failed and kept, one row per input row."""
     measured = stored(measures(docs, text), "quality")
-    fine = stored(sketches(measured), "sketch")
+    failed = (F.col("n_words") < rules.min_words) | (
+        100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
+    )
+    fine = stored(sketches(measured.where(~failed)), "sketch")
     by_lang = merge(fine, "lang")
     names = [f"max_{r}" for r in RATIOS]
 
@@ -194,7 +199,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFr
     lang = named(fences(by_lang, rules, "lang"), "lang")
     # One row for all documents; without any there is nothing to limit.
     every = fences(merge(fine), rules).first()
-    every = F.struct(*[F.lit(every[c] if every else 0).cast("long").alias(c) for c in names])
+    every = F.struct(*[F.lit((every[c] or 0) if every else 0).cast("long").alias(c) for c in names])
     # One row per group that occurs, with the limits it uses; then one join of the documents with it.
     limits = (
         one.join(lang, F.col("_one_lang").eqNullSafe(F.col("_lang_lang")), "left")
@@ -205,11 +210,8 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFr
         F.col("lang").eqNullSafe(F.col("_one_lang")) & F.col("source").eqNullSafe(F.col("_one_source")),
         "left",
     )
-    failed = (F.col("n_words") < rules.min_words) | (
-        100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
-    )
     within = F.lit(True)
-    for ratio, (part, whole, _) in RATIOS.items():
+    for ratio, (part, whole) in RATIOS.items():
         within = within & (_permille(part, whole) <= F.col(f"_limit.max_{ratio}"))
     return at.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

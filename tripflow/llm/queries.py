@@ -168,10 +168,10 @@ p AS (SELECT *, CASE WHEN word_chars > 0 THEN least(1000, 1000 * n_symbols // wo
              CASE WHEN n_lines > 0 THEN least(1000, 1000 * n_dup_lines // n_lines) ELSE 0 END AS dup_lines,
              CASE WHEN n_words > 0 THEN least(1000, 1000 * n_repeat_words // n_words) ELSE 0 END AS repeats FROM m),
 f AS (SELECT grouping_id(lang, source) AS g, lang, source, count(*) AS n,
-             greatest(50, 4 * quantile_disc(symbols, 0.75) - 3 * quantile_disc(symbols, 0.25)) AS s,
-             greatest(300, 4 * quantile_disc(dup_lines, 0.75) - 3 * quantile_disc(dup_lines, 0.25)) AS d,
-             greatest(150, 4 * quantile_disc(repeats, 0.75) - 3 * quantile_disc(repeats, 0.25)) AS r
-      FROM p GROUP BY GROUPING SETS ((lang, source), (lang), ())),
+             greatest(quantile_disc(symbols, 0.9375), CASE WHEN 64 * count(*) FILTER (symbols > 0) >= count(*) THEN coalesce(quantile_disc(symbols, 0.5) FILTER (symbols > 0), 0) ELSE 0 END) AS s,
+             greatest(quantile_disc(dup_lines, 0.9375), CASE WHEN 64 * count(*) FILTER (dup_lines > 0) >= count(*) THEN coalesce(quantile_disc(dup_lines, 0.5) FILTER (dup_lines > 0), 0) ELSE 0 END) AS d,
+             greatest(quantile_disc(repeats, 0.9375), CASE WHEN 64 * count(*) FILTER (repeats > 0) >= count(*) THEN coalesce(quantile_disc(repeats, 0.5) FILTER (repeats > 0), 0) ELSE 0 END) AS r
+      FROM p WHERE NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) GROUP BY GROUPING SETS ((lang, source), (lang), ())),
 c AS (SELECT p.*, coalesce(CASE WHEN a.n >= 200 THEN a.s END, CASE WHEN b.n >= 200 THEN b.s END, z.s) AS ms,
              coalesce(CASE WHEN a.n >= 200 THEN a.d END, CASE WHEN b.n >= 200 THEN b.d END, z.d) AS md,
              coalesce(CASE WHEN a.n >= 200 THEN a.r END, CASE WHEN b.n >= 200 THEN b.r END, z.r) AS mr
