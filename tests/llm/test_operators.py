@@ -56,6 +56,13 @@ def test_toxicity_learns_words_and_ignores_everything_else(text_spark, docs, cla
     assert toxicity.score(empty, model).isEmpty()
     one_class = toxicity.fit(train.drop("toxic"), train.select("doc_id", F.lit(0).alias("toxic")))
     assert {r["score"] for r in toxicity.score(docs, one_class).collect()} == {0.0}
+    labels = train.select("doc_id", "toxic")
+    # Labels of both classes without documents, and without any labelled document.
+    for lacking in (empty, docs.where("doc_id is null"), docs.withColumn("doc_id", F.lit(-1).cast("long"))):
+        assert toxicity.score(docs, toxicity.fit(lacking, labels)).where("score <> 0").isEmpty()
+    repeated = toxicity.fit(train.drop("toxic").unionByName(train.drop("toxic")), labels.unionByName(labels))
+    again = {r["doc_id"]: r["score"] for r in toxicity.score(test, repeated).collect()}
+    assert sum((again[k] >= 0.5) == bool(y) for k, _, _, y in made if k >= 300) >= 95
     nothing = toxicity.fit(empty, empty.select("doc_id", F.lit(0).alias("toxic")))
     assert toxicity.score(docs, nothing).where("score <> 0").isEmpty()
 
@@ -385,6 +392,23 @@ def test_quality(text_spark, docs, awkward, clashing, empty):
     assert not judged[1000]
 
 
+def test_limits_follow_language_and_source(text_spark, docs):
+    """The same ratios, judged by groups in which they are usual and in which they are not; no fixed limit."""
+    plain = lambda k: " ".join(f"w{k:03}x{i}" for i in range(20))
+    marked = lambda k, n: plain(k) + " #" * n
+    rows = [(k, marked(k, k % 8), "xx", "a", 1) for k in range(400)]
+    rows += [(1000 + k, marked(k, 4 if k == 7 else 0), "yy", "a", 1) for k in range(400)]
+    # A source of few documents borrows the limits of its language.
+    rows += [(2000, marked(1, 4), "xx", "b", 1), (2001, marked(1, 4), "yy", "b", 1), (2002, marked(1, 30), "xx", "b", 1)]
+    frame = text_spark.createDataFrame(rows, docs.schema)
+    fine = quality.sketches(quality.measures(frame))
+    limits = {r["lang"]: r["max_symbols"] for r in quality.fences(quality.merge(fine, "lang"), quality.Rules(), "lang").collect()}
+    assert limits["xx"] > 30 and limits["yy"] == 0
+    judged = {r["doc_id"]: r["kept"] for r in quality.judge(frame).collect()}
+    assert judged[4] and not judged[1007] and judged[1008]
+    assert judged[2000] and not judged[2001] and not judged[2002]
+
+
 def test_sketches_merge(text_spark):
     rows = [(k, "word " * 10 + "#" * (k % 7), "en", f"s{k % 3}", 1) for k in range(90)]
     frame = text_spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

@@ -23,7 +23,7 @@ def test_stages_are_the_named_ones():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language_id", "near_duplicates", "benchmark_decontamination", "personal_data", "byte_bpe",
     ]
-    assert {f"op{k}_" for k in range(2, 11)} == {name.partition("_")[0] + "_" for name in QUERIES}
+    assert {f"op{k}_" for k in range(2, 14)} == {name.partition("_")[0] + "_" for name in QUERIES}
     assert set(ORACLES) <= set(QUERIES)
 
 
