@@ -24,9 +24,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# A worker remembers the encodings of so many pieces and the last tokens of so many prefixes, then starts afresh.
-REMEMBERED_PIECES = 300_000
-REMEMBERED_PREFIXES = 600_000
+from tripflow.llm.common import lean
+
+# A task remembers the encodings of so many pieces (twice as many: the older half goes when the younger is full) and the
+# last tokens of so many prefixes, a worker so many pairs of neighbours: together about 80 MB; then they start afresh.
+REMEMBERED_PIECES = 70_000
+REMEMBERED_PREFIXES = 100_000
+REMEMBERED_PAIRS = 200_000
 # Prefixes of longer pieces are not shared among pieces: remembering them would take the square of the length.
 SHARED_PREFIX_BYTES = 48
 
@@ -38,7 +42,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Vocabulary:
-    """Ranks, their inverse, the tokens that merging can give, and the memory of which neighbours stay apart."""
+    """Ranks, their inverse and the tokens that merging can give; `apart` remembers which neighbours stay apart."""
 
     def __init__(self, ranks: dict[bytes, int]):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
@@ -51,11 +55,21 @@ class Vocabulary:
         # A token whose own bytes merge into something else can never end a merged prefix.
         self.reachable = {token: rank for token, rank in ranks.items() if len(token) == 1 or self.merged(token) == [rank]}
         self.apart: dict[tuple[int, int], bool] = {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """Plain merging, lowest rank first; used on two tokens at a time."""
+        # The longest merged token that ends with three given bytes: a prefix need not look back further.
+        self.reach: dict[bytes, int] = {}
+        # The two tokens whose merge makes each token last, and the token that each such pair makes.
+        self.halves = {rank: (rank, rank) for token, rank in ranks.items() if len(token) == 1}
+        self.joined: dict[tuple[int, int], int] = {}
+        for token, rank in self.reachable.items():
+            self.reach[token[-3:]] = max(self.reach.get(token[-3:], 2), len(token))
+            if len(token) > 1:
+                self.halves[rank] = left, right = tuple(self.merged(token, 2))
+                self.joined[left, right] = rank
+
+    def merged(self, data: bytes, until: int = 1) -> list[int]:
+        """Plain merging, lowest rank first, down to `until` tokens at least."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > until:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 rank = self.ranks.get(parts[i] + parts[i + 1])
@@ -67,17 +81,44 @@ class Vocabulary:
         return [self.ranks[p] for p in parts]
 
     def stay_apart(self, left: int, right: int) -> bool:
-        if len(self.apart) > REMEMBERED_PIECES:
+        if len(self.apart) > REMEMBERED_PAIRS:
             self.apart.clear()
-        together = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
-        self.apart[left, right] = together
-        return together
+        self.apart[left, right] = apart = self._never_meet(left, right)
+        return apart
+
+    def _never_meet(self, left: int, right: int) -> bool:
+        """Whether no merge crosses the border of two tokens while each is put together from its bytes.
+
+        Both are taken apart again along the border, the one made later first: a pair that meets there merges if its
+        rank comes before the merge that was undone last.
+        """
+        latest = 1 << 62
+        while True:
+            if self.joined.get((left, right), latest) < latest:
+                return False
+            steps = (self._undo_left, self._undo_right) if left > right else (self._undo_right, self._undo_left)
+            for undo in steps:
+                parts = undo(left, right)
+                if parts:
+                    left, right, latest = parts
+                    break
+            else:
+                return True
+
+    def _undo_left(self, left: int, right: int) -> tuple[int, int, int] | None:
+        part = self.halves[left][1]
+        return None if part == left else (part, right, left)
+
+    def _undo_right(self, left: int, right: int) -> tuple[int, int, int] | None:
+        # Of equal ranks the pair further left merges first, so one that crosses the border still comes first.
+        part = self.halves[right][0]
+        return None if part == right else (left, part, right + 1)
 
     def extend(self, data: bytes, last: array, until: int) -> None:
         """Add the last tokens of the prefixes that end at len(last) + 1 to `until`."""
-        token_of, known, longest, stay_apart = self.reachable.get, self.apart.get, self.longest, self.stay_apart
+        token_of, known, reach, stay_apart = self.reachable.get, self.apart.get, self.reach.get, self.stay_apart
         for end in range(len(last) + 1, until + 1):
-            for start in range(max(0, end - longest), end):
+            for start in range(max(0, end - reach(data[max(0, end - 3) : end], 2)), end):
                 token = token_of(data[start:end])
                 if token is None:
                     continue
@@ -144,12 +185,22 @@ class Encoder:
         encoder = self
 
         class Known(dict):
+            """Encodings of pieces; one that is not there is taken from the older half, or made."""
+
             def __missing__(self, piece: str) -> bytes:
-                ids = self[piece] = np.array(encoder.piece_ids(piece), "<u4").tobytes()
+                ids = encoder.older.get(piece)
+                if ids is None:
+                    ids = np.array(encoder.piece_ids(piece), "<u4").tobytes()
+                self[piece] = ids
                 return ids
 
+        self.young, self.older = Known, {}
         self.known = Known()
 
+    def forget(self) -> None:
+        """Give the memories of the task back; the vocabulary and its pairs outlive it."""
+        self.known, self.older, self.last = self.young(), {}, {}
+
     def piece_ids(self, piece: str) -> list[int]:
         data = piece.encode("utf-8", "surrogatepass")
         token = self.vocabulary.ranks.get(data)
@@ -162,7 +213,7 @@ class Encoder:
     def _by_shared_prefixes(self, data: bytes) -> list[int]:
         """As `PrefixTable`, but the table is one for all pieces: the last token depends on the prefix alone."""
         v, last = self.vocabulary, self.last
-        token_of, known, longest = v.reachable.get, v.apart.get, v.longest
+        token_of, known, reach = v.reachable.get, v.apart.get, v.reach.get
         if len(last) > REMEMBERED_PREFIXES:
             last.clear()
         n = have = len(data)
@@ -170,7 +221,7 @@ class Encoder:
             have -= 1
         # A cleared memory, or a piece cut short by one, never leaves gaps: prefixes are added shortest first.
         for end in range(have + 1, n + 1):
-            for start in range(max(0, end - longest), end):
+            for start in range(max(0, end - reach(data[max(0, end - 3) : end], 2)), end):
                 token = token_of(data[start:end])
                 if token is None:
                     continue
@@ -193,7 +244,7 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if len(self.known) > REMEMBERED_PIECES:
-            self.known.clear()
+            self.older, self.known = dict(self.known), self.young()
         return b"".join(map(self.known.__getitem__, self.split(text)))
 
 
@@ -243,29 +294,54 @@ class EditableEncoding:
         return [token for _, ids in self.pieces for token in ids]
 
 
-def _rows(docs: DataFrame, column: str, keep: tuple[str, ...], made: str, convert) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = convert()
-        for batch in batches:
-            values = pa.array([one(x) for x in batch.column(column).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), values], [*keep, made])
-
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(made, T.BinaryType())])
-    return docs.select(*dict.fromkeys((*keep, column))).mapInArrow(run, schema)
+def _rows(docs: DataFrame, column: str, keep: tuple[str, ...], made: tuple[str, ...], convert) -> DataFrame:
+    """Columns `keep` and the binary columns `made`, of which `convert` makes one or more from a value."""
 
-
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one, forget = convert()
+        try:
+            for batch in batches:
+                rows = [one(x) for x in batch.column(column).to_pylist()]
+                values = [pa.array([r[k] for r in rows], pa.binary()) for k in range(len(made))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *values], [*keep, *made])
+        finally:
+            forget()
+
+    schema = T.StructType([*(docs.schema[c] for c in keep), *[T.StructField(m, T.BinaryType()) for m in made]])
+    return docs.select(*dict.fromkeys((*keep, column))).mapInArrow(lean(run), schema)
+
+
+def encode(
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    decoded: str | None = None,
+) -> DataFrame:
     """Columns `keep` and `ids` (little-endian unsigned 32-bit integers), one row per input row.
 
-    `ranks_path` is read by the driver, so executors need no copy of the file; a vocabulary is a few MB.
+    `decoded` names a further column with the bytes that these ids stand for: both come from one pass, with one worker a
+    task. `ranks_path` is read by the driver, so executors need no copy of the file; a vocabulary is a few MB.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(load_ranks(ranks_path)))
 
     def convert():
         encoder = Encoder(vocabulary.value, pattern)
-        return lambda value: encoder.ids(value) if value else b""
+        back = _decoder(vocabulary.value.tokens)
+
+        def one(value: str | None) -> tuple[bytes, ...]:
+            ids = encoder.ids(value) if value else b""
+            return (ids, back(ids)) if decoded else (ids,)
+
+        return one, encoder.forget
+
+    return _rows(docs, text, keep, ("ids", decoded) if decoded else ("ids",), convert)
+
 
-    return _rows(docs, text, keep, "ids", convert)
+def _decoder(tokens: dict[int, bytes]):
+    token = tokens.__getitem__
+    return lambda ids: b"".join(map(token, np.frombuffer(ids, "<u4").tolist())) if ids else b""
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -273,7 +349,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", keep: tuple[st
     ranks = encoded.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
 
     def convert():
-        token = {rank: data for data, rank in ranks.value.items()}.__getitem__
-        return lambda value: b"".join(map(token, np.frombuffer(value, "<u4").tolist())) if value else b""
+        back = _decoder({rank: data for data, rank in ranks.value.items()})
+        return lambda value: (back(value),), lambda: None
 
-    return _rows(encoded, ids, keep, "decoded", convert)
+    return _rows(encoded, ids, keep, ("decoded",), convert)

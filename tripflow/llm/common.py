@@ -6,6 +6,8 @@ a few numpy passes. Nulls count as empty texts.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -51,13 +53,36 @@ def crc_rest(spark_col, modulus: int):
     return F.crc32(F.coalesce(spark_col.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def lean(run):
+    """A function over record batches that gives its memory back when its task ends.
+
+    Workers are used again by later stages, and the allocator would keep what the largest of them needed.
+    """
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return bounded
+
+
+# A writer holds one row group per task: small ones for frames with whole texts.
+ROW_GROUP_BYTES = 16 << 20
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame into the shared folder and read it back: later steps start from the files."""
     from tripflow.session import scratch
 
     spark = frame.sparkSession
     path = scratch(spark, name)
-    frame.write.parquet(path)
+    frame.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

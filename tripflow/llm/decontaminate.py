@@ -25,10 +25,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import FOLD, PLAIN_WORD, RangeHash, row_bytes, sliced, stored, word_spans
+from tripflow.llm.common import FOLD, PLAIN_WORD, RangeHash, lean, row_bytes, sliced, stored, word_spans
 
 WINDOW_WORDS = 10
-SEGMENT_BYTES = 2 << 20
+SEGMENT_BYTES = 1 << 20
 # Test phrases searched in one pass over the index; a larger test set takes several passes.
 PHRASES_PER_PASS = 200_000
 # Candidate positions held at once within a segment.
@@ -79,7 +79,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     keyed = narrow.withColumn("text_key", F.xxhash64("text"))
-    return stored(keyed.mapInArrow(run, INDEX_SCHEMA), "index")
+    return stored(keyed.mapInArrow(lean(run), INDEX_SCHEMA), "index")
 
 
 @dataclass
@@ -229,7 +229,7 @@ def _search(index: DataFrame, phrases: Phrases) -> DataFrame:
                 which, start = find_phrases(seg, p.vocabulary, p.words, p.sizes)
                 yield _hits_of(row, seg, p, which, start)
 
-    return index.mapInArrow(run, HIT_SCHEMA)
+    return index.mapInArrow(lean(run), HIT_SCHEMA)
 
 
 def _hits_of(row: dict, seg: Segment, p: Phrases, which: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
@@ -292,7 +292,7 @@ def _merged(parts: list[DataFrame]) -> DataFrame:
             names = ["segment", "place", "doc_id", "text_key", "n_words", "n_hit", "runs", "items"]
             yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
 
-    return each.mapInArrow(run, HIT_SCHEMA)
+    return each.mapInArrow(lean(run), HIT_SCHEMA)
 
 
 def exact_hits(

@@ -36,6 +36,7 @@ from tripflow.llm.common import (
     RangeHash,
     gram_hashes,
     grouped,
+    lean,
     mix,
     row_bytes,
     sliced,
@@ -98,7 +99,7 @@ def _frequent(docs: DataFrame, size: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], ["s", "n"])
 
     some = docs.where(F.pmod(F.xxhash64("text", F.lit("order")), F.lit(ORDER_SAMPLE)) == 0).select("text")
-    counted = stored(some.mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where("n >= 3"), "order")
+    counted = stored(some.mapInArrow(lean(run), "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where("n >= 3"), "order")
     # Steps of the count's logarithm: a bounded table, whatever the corpus.
     steps = counted.groupBy(F.floor(F.log2("n") * 4).alias("step")).agg(F.count("*").alias("c"), F.min("n").alias("low"))
     total, low = 0, None
@@ -146,7 +147,7 @@ def _signed(docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> D
                     ["doc_id", "text_key", "n", "hi", "lo", "head"],
                 )
 
-    made = docs.mapInArrow(run, "doc_id long, text_key long, n int, hi long, lo long, head array<long>")
+    made = docs.mapInArrow(lean(run), "doc_id long, text_key long, n int, hi long, lo long, head array<long>")
     return stored(made.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
@@ -173,7 +174,7 @@ def _cells(heads: DataFrame, frequent: np.ndarray) -> DataFrame:
                 [batch.column("node"), batch.column("n"), lists(rare, ~common), lists(often, common)], ["node", "n", "rare", "often"]
             )
 
-    parted = heads.mapInArrow(known, "node long, n int, rare array<long>, often array<long>")
+    parted = heads.mapInArrow(lean(known), "node long, n int, rare array<long>, often array<long>")
     rare = parted.select("node", "n", F.explode("rare").alias("s"))
     rare = rare.withColumn("k", F.count("*").over(Window.partitionBy("s"))).where("k > 1")
     often = parted.select("node", "n", F.explode("often").alias("s"))
@@ -285,12 +286,12 @@ def _with_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
     wanted = F.broadcast(wanted) if members.count() <= BROADCAST_ROWS else wanted
     found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_id"]) & (docs["text_key"] == wanted["_key"]))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema if f.name in keep)
-    return found.select(*keep, "text").mapInArrow(run, f"{schema}, shingles binary")
+    return found.select(*keep, "text").mapInArrow(lean(run), f"{schema}, shingles binary")
 
 
 def _multiplied(rows: DataFrame, percent: int) -> DataFrame:
     dealt = rows.repartition("cluster", "block", "part").sortWithinPartitions("cluster", "block", "part")
-    return dealt.mapInArrow(_block_links(percent), "cluster long, node long, label long")
+    return dealt.mapInArrow(lean(_block_links(percent)), "cluster long, node long, label long")
 
 
 def _block_counts(members: DataFrame) -> DataFrame:

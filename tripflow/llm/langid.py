@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.llm.common import free_name, mix
+from tripflow.llm.common import free_name, lean, mix
 
 NGRAM = 4
 UNKNOWN = "und"
@@ -182,7 +182,7 @@ def fit(
         ]
     )
     known = (
-        sample.mapInArrow(grams, "lang int, gram long, n long")
+        sample.mapInArrow(lean(grams), "lang int, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= least[F.col("lang")])
@@ -218,7 +218,8 @@ def predict(
     With a third name in `added`, also the number of n-grams of the text: a score of 0 on none says nothing.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    body = free_name([*keep, *added], "text")
+    # A text that is kept crosses to Python once.
+    body = text if text in keep else free_name([*keep, *added], "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,4 +239,5 @@ def predict(
     schema = T.StructType(
         [*(docs.schema[c] for c in keep), *[T.StructField(a, k) for a, k in zip(added, kinds, strict=False)]]
     )
-    return docs.select(*keep, F.col(text).alias(body)).mapInArrow(run, schema)
+    given = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text).alias(body))
+    return given.mapInArrow(lean(run), schema)

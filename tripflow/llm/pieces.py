@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tripflow.llm.common import sliced
+from tripflow.llm.common import lean, sliced
 
 SPACE = "▁"
 LONG = 64
@@ -393,7 +393,7 @@ def _mapped(frame: DataFrame, column: str, keep: tuple[str, ...], made: T.Struct
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), values.cast(kind)], [*keep, made.name])
 
     schema = T.StructType([*(frame.schema[c] for c in keep), made])
-    return frame.select(*dict.fromkeys((*keep, column))).mapInArrow(run, schema)
+    return frame.select(*dict.fromkeys((*keep, column))).mapInArrow(lean(run), schema)
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tripflow.llm.common import lean
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("iban", "national_id", "phone_local")
 KINDS = BASE_KINDS + MORE_KINDS
@@ -181,7 +183,7 @@ def with_spans(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
 
     narrow = docs.select(*dict.fromkeys((*keep, text)))
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("spans", SPANS)])
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(lean(run), schema)
 
 
 def mask_documents(docs: DataFrame, text: str = "text", length: str | None = "n_chars", threshold: float = 0.5) -> DataFrame:
@@ -206,4 +208,4 @@ def mask_documents(docs: DataFrame, text: str = "text", length: str | None = "n_
                 )
             yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

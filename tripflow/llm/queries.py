@@ -96,12 +96,13 @@ def op5(table) -> DataFrame:
 
 def encoded(docs: DataFrame, ranks: str, pattern: str, *keep: str) -> DataFrame:
     """Ids and what they decode to, as counts and digests; `keep` names further columns, ids among them."""
-    ids = bpe.encode(docs, ranks, pattern)
-    digests = ids.withColumn("n_tokens", F.octet_length("ids").cast("long") / 4).select(
-        "doc_id", F.col("n_tokens").cast("long").alias("n_tokens"), sha(F.col("ids")).alias("ids_sha256"), "ids"
+    return bpe.encode(docs, ranks, pattern, decoded="decoded").select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        sha(F.col("ids")).alias("ids_sha256"),
+        *keep,
+        sha(F.col("decoded")).alias("decoded_sha256"),
     )
-    back = ("doc_id", "n_tokens", "ids_sha256", *keep)
-    return bpe.decode(digests, ranks, keep=back).select(*back, sha(F.col("decoded")).alias("decoded_sha256"))
 
 
 @query("op6_pii")

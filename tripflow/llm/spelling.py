@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import FOLD, stored
+from tripflow.llm.common import FOLD, lean, stored
 
 # The runs that are words (as UTF-8, after folding A-Z), the divisor of hashes that delete a character, the
 # least length and count of a word, and how many times more frequent its form must be.
@@ -86,7 +86,7 @@ def vocabulary(docs: DataFrame) -> DataFrame:
         yield handed()
 
     given = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text")
-    parts = given.mapInArrow(run, "word string, n long")
+    parts = given.mapInArrow(lean(run), "word string, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 

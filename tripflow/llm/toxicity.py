@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.llm import langid
-from tripflow.llm.common import FOLD, PLAIN_WORD, RangeHash, free_name, row_bytes, sliced, word_spans
+from tripflow.llm.common import FOLD, PLAIN_WORD, RangeHash, free_name, lean, row_bytes, sliced, word_spans
 
 BUCKET_BITS = 20
 DIMENSIONS = 8
@@ -97,7 +97,7 @@ class Network:
 def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Network:
     """Adam on the logistic loss, classes weighted alike; `texts` are bucket arrays."""
     rng = np.random.default_rng(seed)
-    sizes = np.array([len(t) for t in texts])
+    sizes = np.array([len(t) for t in texts], np.int64)
     doc = np.repeat(np.arange(len(texts)), sizes)
     flat = np.concatenate(texts) if len(texts) else np.empty(0, np.int32)
     pairs = np.unique(doc.astype(np.int64) << BUCKET_BITS | flat)
@@ -214,8 +214,9 @@ def fit(
         min(scale, scale * rows_per_class[0] // seen[0])
     )
     chosen = known.where(F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(scale)) < limit)
-    # About as many rows as `rows_per_class` allows, whatever the corpus.
-    sample = rows.join(F.broadcast(chosen), "id")
+    # About as many rows as `rows_per_class` allows, whatever the corpus: repeated ids count once.
+    chosen = chosen.groupBy("id").agg(F.max("label").alias("label"))
+    sample = rows.join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,13 +236,15 @@ def fit(
                 )
 
     keyed = sample.select(F.xxhash64("text").alias("key"), "label", "text")
-    got = keyed.mapInArrow(ids, "key long, label int, lang string, words binary").toArrow()
+    got = keyed.mapInArrow(lean(ids), "key long, label int, lang string, words binary").toArrow()
     order = np.argsort(got.column("key").to_numpy(), kind="stable")
     words = [np.frombuffer(w, "<i4") for w in got.column("words").to_pylist()]
     words = [words[k] for k in order]
     labels = got.column("label").to_numpy()[order].astype(np.int64)
     langs = np.array(got.column("lang").to_pylist(), object)[order]
     del got
+    if len(set(labels.tolist())) < 2:
+        return Toxicity(None, languages, {}, 0.0, constant=float(labels.any()))
     # The weights learn from four fifths of the sample, the thresholds from the rest.
     apart = np.arange(len(words)) % 5 == 4
     thresholds, default = {}, 0.0
@@ -274,4 +277,4 @@ def score(docs: DataFrame, model: Toxicity, text: str = "text", keep: tuple[str,
                 )
 
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType())])
-    return docs.select(*keep, F.col(text).alias(body)).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text).alias(body)).mapInArrow(lean(run), schema)
