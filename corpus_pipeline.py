@@ -31,29 +31,32 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id; texts without words all stay."""
     session(spark)
-    groups = jaccard_join.labelled(docs)
+    groups = stored(jaccard_join.labelled(docs), "groups")
     # One row of each group: its smallest id, and the smallest text hash where that id has several texts. Groups are
     # told apart by their label: those without ids, and those that begin with the same id, share a component_id.
     heads = groups.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
     heads = heads.groupBy("component", F.col("component_id").alias("_id")).agg(F.min("text_key").alias("_key"))
     heads = stored(heads.select("_id", "_key"), "heads")
     empty = groups.where("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    wanted = stored(heads.unionByName(empty.distinct()), "wanted")
-    same = docs["doc_id"].eqNullSafe(wanted["_id"]) & (F.xxhash64(docs["text"]) == wanted["_key"])
-    # A list of checked size goes to all executors and leaves the texts in place; a longer one is shuffled.
-    wanted = F.broadcast(wanted) if wanted.count() <= jaccard_join.BROADCAST_ROWS else wanted
-    return _one_of_each(docs.join(wanted, same, "left_semi"))
+    # With the number of rows that agree in id and text: only these are shuffled to keep one of them.
+    rows = groups.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.count("*").alias("_n"))
+    chosen = heads.unionByName(empty.distinct()).withColumnsRenamed({"_id": "_i", "_key": "_k"})
+    same = rows["_id"].eqNullSafe(chosen["_i"]) & (rows["_key"] == chosen["_k"])
+    wanted = stored(rows.join(chosen, same, "left_semi"), "wanted")
+    kept = _of_list(docs, wanted.where("_n = 1"))
+    repeated = wanted.where("_n > 1")
+    if repeated.isEmpty():
+        return kept
+    return kept.unionByName(_of_list(docs, repeated).dropDuplicates(["doc_id", "text"]))
 
 
-def _one_of_each(kept: DataFrame) -> DataFrame:
-    """One of the rows that agree in id and text. Only such rows are shuffled; all others stay where they are."""
-    twice = kept.groupBy(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key")).agg(F.count("*").alias("_n"))
-    twice = stored(twice.where("_n > 1"), "twice")
-    if twice.isEmpty():
-        return kept
-    same = kept["doc_id"].eqNullSafe(twice["_id"]) & (F.xxhash64(kept["text"]) == twice["_key"])
-    once = kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(twice, same, "left_anti").unionByName(once)
+def _of_list(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of `docs` whose id and text hash are listed. A list of checked size goes to all executors and leaves the
+    texts in place; a longer one is shuffled."""
+    wanted = wanted.select("_id", "_key")
+    same = docs["doc_id"].eqNullSafe(wanted["_id"]) & (F.xxhash64(docs["text"]) == wanted["_key"])
+    wanted = F.broadcast(wanted) if wanted.count() <= jaccard_join.BROADCAST_ROWS else wanted
+    return docs.join(wanted, same, "left_semi")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
