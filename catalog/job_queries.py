@@ -13,13 +13,14 @@ from catalog.inputs import INGESTED, NOW, Inputs
 from catalog.ingest_queries import damaged_messages
 from catalog.reference_sql import amount, rollup
 from catalog.registry import query
-from catalog.serving_queries import COMPARED, competitive
+from catalog.serving_queries import FOLLOWED, SHORT_TRAINING, followed, ruled_cents
 from catalog.shapes import HISTORY_STAMP, PAIR_VERSION
 from tripflow.operators.arrival import mark_late
-from tripflow.operators.baselines import global_median, pair_medians, quote_by_pair
+from tripflow.operators.baselines import global_median, pair_medians, quote_by_global, quote_by_pair
 from tripflow.operators.dedupe import first_per_key
 from tripflow.operators.merge import WINDOW_KEYS
-from tripflow.operators.rollup import city_rows, window_metrics
+from tripflow.operators.ownership import is_live
+from tripflow.operators.rollup import city_rows, mark_final, window_metrics
 from tripflow.operators.serving import serving_windows
 from tripflow.plans.jobs import (
     backfill,
@@ -28,20 +29,22 @@ from tripflow.plans.jobs import (
     evaluate,
     ingest_validate,
     load_history,
+    read_rejects,
     run_hot_path,
     score_stream,
     stream_to_lake,
     train,
 )
 from tripflow.schemas import DAILY, EVALUATION
-from tripflow.session import scratch
+from tripflow.session import scratch, settled
 from tripflow.sources.lake import read_lake, write_lake
+from tripflow.sources.files import exists, list_files, make_folder, rename
 from tripflow.sources.log import FileLog, follow_log, read_log, write_log
 from tripflow.sources.raw_files import FILE_PREFIX, read_raw_range
 from tripflow.sources.serving_tables import read_batches, read_snapshot
 from tripflow.sources.wire import decode_view, encode_wire
 from tripflow.streaming.hot import WINDOW_ROWS, publish_dead_letters, publish_windows, read_views, read_windows
-from tripflow.streaming.scoring import read_quotes
+from tripflow.streaming.scoring import publish_quotes, read_quotes
 
 _MEASURES = "trip_count, total_revenue, avg_fare, avg_tip, avg_distance_km"
 
@@ -159,8 +162,9 @@ def r9(i):
 
 def scored_by_stream(i: Inputs, events: DataFrame, paths: Paths) -> DataFrame:
     """The price tables are written first: every micro-batch reads them again."""
-    pair_medians(i.fitted).write.parquet(paths.at("pairs"))
-    global_median(i.fitted).write.parquet(paths.at("everywhere"))
+    if not exists(i.spark, paths.at("everywhere")):
+        pair_medians(i.fitted).write.parquet(paths.at("pairs"))
+        global_median(i.fitted).write.parquet(paths.at("everywhere"))
     pairs, everywhere = i.spark.read.parquet(paths.at("pairs")), i.spark.read.parquet(paths.at("everywhere"))
     log = written_log(i, events, paths)
     score_stream(
@@ -285,30 +289,56 @@ def k4(i):
     return read_windows(i.spark, paths.at("windows_final"), paths.at("windows_open"))
 
 
-@query("k5_train", f"SELECT model, competitive FROM ({COMPARED})")
+@query("k5_train", FOLLOWED)
 def k5(i):
-    """Lake -> sample -> fit -> comparison with both price tables -> saved model, whose metrics are read back."""
+    """Lake -> sample -> fit -> comparison with both price tables -> saved model, whose card is read back.
+
+    Prices follow from zones and clock here, so that a model that has learned nothing shows.
+    """
     paths = place(i, "train")
-    load_history(i.raw, paths, INGESTED, i.settings)
-    train(i.spark, paths, NOW, i.settings)
+    raw = i.raw.withColumn("total_amount", F.col("tip_amount") + ruled_cents(
+        "tpep_pickup_datetime", "PULocationID", "DOLocationID") / 100)
+    load_history(raw, paths, INGESTED, i.settings)
+    train(i.spark, paths, NOW, replace(i.settings, **SHORT_TRAINING))
     card = i.spark.read.text(f"{paths.model}/card")
-    shape = "metrics map<string, struct<mae:double>>"
-    metrics = card.select(F.explode(F.from_json("value", shape)["metrics"]).alias("model", "m"))
-    rows = metrics.select("model", F.col("m.mae").alias("mae"), F.lit(None).cast("long").alias("row_count"))
-    return competitive(rows).drop("row_count")
+    shape = "metrics map<string, struct<mae:double>>, rounds_kept int"
+    read = card.select(F.from_json("value", shape).alias("c"))
+    metrics = read.select(F.explode("c.metrics").alias("model", "m"), "c.rounds_kept")
+    return followed(metrics.select("model", F.col("m.mae").alias("mae"), "rounds_kept"))
+
+
+@query(
+    "k1_rejects_by_month",
+    """SELECT strftime(source_month, '%Y-%m') AS load_id, reject_reason, count(*) AS records FROM (
+         SELECT source_month, coalesce(reject_reason, CASE WHEN tpep_pickup_datetime < source_month
+           OR tpep_pickup_datetime >= source_month + INTERVAL 1 MONTH THEN 'outside_source_month' END) AS reject_reason
+         FROM judged) WHERE reject_reason IS NOT NULL GROUP BY 1, 2""",
+)
+def k1_rejects(i):
+    """A load and its rerun: every month keeps its rejects once."""
+    paths = place(i, "rejects-by-month")
+    for _ in range(2):
+        load_history(i.raw, paths, INGESTED, i.settings, F.col("source_month"), "undated")
+    return read_rejects(i.spark, paths).groupBy("load_id", "reject_reason").agg(F.count(F.lit(1)).alias("records"))
 
 
-MONTHS = ("1997-11", "1997-12", "1998-01")
+# The months asked for; the folder has some before and some after them.
+MONTHS = ("1992-04", "1998-08")
 _IN_MONTHS = f"source_month BETWEEN DATE '{MONTHS[0]}-01' AND DATE '{MONTHS[-1]}-01'"
 
 
 def month_folders(i: Inputs, paths: Paths) -> str:
-    """Months as Spark writes them: one folder of part files each, the middle one with other column names."""
+    """All months as Spark writes them: one folder of part files each, every other one with other column names."""
     folder = paths.at("raw")
-    for k, month in enumerate(MONTHS):
-        rows = i.raw.where(F.col("source_month") == F.lit(f"{month}-01").cast("date")).drop("source_month")
-        rows = rows.toDF(*(c.upper() for c in rows.columns)) if k == 1 else rows
-        rows.write.parquet(f"{folder}/{FILE_PREFIX}{month}.parquet")
+    make_folder(i.spark, folder)
+    for k in (0, 1):
+        rows = i.raw.where(F.month("source_month") % 2 == k).withColumn("m", F.date_format("source_month", "yyyy-MM"))
+        rows = rows.drop("source_month")
+        rows = rows.toDF(*(c.upper() if k and c != "m" else c for c in rows.columns))
+        staged = paths.at(f"months-{k}")
+        rows.write.partitionBy("m").parquet(staged)
+        for part in list_files(i.spark, staged, "m=*"):
+            rename(i.spark, part, f"{folder}/{FILE_PREFIX}{part.rpartition('m=')[2]}.parquet")
     return folder
 
 
@@ -319,7 +349,7 @@ def month_folders(i: Inputs, paths: Paths) -> str:
 )
 def s2(i):
     """A range of monthly folders with drifting columns, each row tagged with the month of its path."""
-    raw = read_raw_range(i.spark, month_folders(i, place(i, "months")), MONTHS[0], MONTHS[-1])
+    raw = read_raw_range(i.spark, month_folders(i, place(i, "months")), *MONTHS)
     return raw.groupBy("source_month").agg(
         F.count(F.lit(1)).alias("records"), F.round(F.sum("total_amount") * 100).cast("bigint").alias("cents")
     )
@@ -339,7 +369,7 @@ def k8(i):
     paths = place(i, "backfill")
     folder = month_folders(i, paths)
     for _ in range(2):
-        backfill(i.spark, folder, MONTHS[0], MONTHS[-1], paths, INGESTED, i.settings)
+        backfill(i.spark, folder, *MONTHS, paths, INGESTED, i.settings)
     columns = ["metric_date", "grain", "zone_id", *(c.strip() for c in _MEASURES.split(","))]
     return read_snapshot(i.spark, paths.daily, DAILY).select(*columns)
 
@@ -362,9 +392,14 @@ def k6(i):
     f"SELECT *, TIMESTAMP '2002-01-01 06:00:00' AS computed_at FROM evaluation WHERE model_version = '{PAIR_VERSION}'",
 )
 def k7(i):
+    """Two portions of the log, evaluated after each: the second run computes only the days the second portion touched,
+    and a third one finds nothing to do."""
     paths = place(i, "evaluate")
-    scored_by_stream(i, i.events, paths)
-    evaluate(i.spark, paths, NOW)
+    late = F.to_date("pickup_datetime") >= F.lit("2000-09-01").cast("date")
+    for portion in (i.events.where(~late), i.events.where(late)):
+        scored_by_stream(i, portion, paths)
+        evaluate(i.spark, paths, NOW)
+    evaluate(i.spark, paths, datetime(2030, 1, 1))
     return read_snapshot(i.spark, paths.evaluation, EVALUATION)
 
 
@@ -382,3 +417,140 @@ def k9(i):
     return sent.unionByName(refused).groupBy("outcome").agg(
         F.count(F.lit(1)).alias("records"), F.sum((F.col("total_amount") * 100).cast("bigint")).alias("cents")
     )
+
+
+@query(
+    "k9_lasting_rejects",
+    """SELECT CASE WHEN VendorID = 1 THEN 'first' ELSE 'second' END AS load_id, reject_reason, count(*) AS records
+       FROM judged WHERE reject_reason IS NOT NULL GROUP BY 1, 2""",
+)
+def k9_rejects(i):
+    """Two loads, the first of them repeated, and a third whose clean rerun leaves nothing behind."""
+    paths = place(i, "lasting-rejects")
+    log = FileLog(paths.at("log"))
+    loads = (("first", F.col("VendorID") == 1), ("second", F.col("VendorID") != 1), ("first", F.col("VendorID") == 1),
+             ("third", F.col("fare_amount") < 0), ("third", F.lit(False)))
+    for name, part in loads:
+        ingest_validate(i.raw.where(part), log, paths, INGESTED, i.settings, name)
+    return read_rejects(i.spark, paths).groupBy("load_id", "reject_reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query(
+    "k6_dead_letters",
+    """SELECT 'unreadable' AS outcome, count(*) AS messages FROM trips WHERE NOT is_history AND pu % 5 = 0
+       UNION ALL SELECT 'price_out_of_range', count(*) FROM trips WHERE NOT is_history AND pu % 5 = 1
+       UNION ALL SELECT 'scored', count(*) FROM trips WHERE NOT is_history AND (pu IS NULL OR pu % 5 > 1)""",
+)
+def k6_dead(i):
+    """Damaged messages and prices no quote can hold go to the scorer's dead letters; everything else is scored."""
+    paths = place(i, "score-dead-letters")
+    log = FileLog(paths.at("log"))
+    events = i.events.where(is_live(i.settings.cutoff))
+    wide = events.withColumn("total_amount", F.when(F.expr("pickup_location.zone_id % 5 = 1"), F.lit("900000000.00").cast("decimal(12,2)")).otherwise(F.col("total_amount")))
+    messages = encode_wire(wide)
+    damaged = F.when(F.col("key").cast("int") % 5 == 0, F.expr("substring(value, 1, length(value) - 10)")).otherwise(F.col("value"))
+    write_log(messages.withColumn("value", damaged), log)
+    everywhere = settled(global_median(i.fitted), "everywhere")
+    score_stream(
+        i.spark, log, paths, i.settings, quote=lambda t: quote_by_global(t, everywhere), version="global", once=True
+    ).awaitTermination()
+    dead = i.spark.read.parquet(paths.at("scoring_dead_letters")).select(
+        F.when(F.col("wire_error") == "price_out_of_range", "price_out_of_range").otherwise("unreadable").alias("outcome")
+    )
+    rows = read_quotes(i.spark, paths.predictions).select(F.lit("scored").alias("outcome")).unionByName(dead)
+    return rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query(
+    "s12_compacted_batches",
+    f"""SELECT event_id, {amount('predicted_c', 10)} AS predicted_amount FROM scored
+        WHERE model_version = '{PAIR_VERSION}' AND pickup_datetime >= TIMESTAMP '2000-03-01' AND pickup_datetime < TIMESTAMP '2000-06-01'""",
+)
+def s12(i):
+    """Quotes published in many micro-batches, compacted as they add up, read back for a range of days."""
+    paths = place(i, "compacted")
+    pairs, everywhere = settled(pair_medians(i.fitted), "pairs"), settled(global_median(i.fitted), "everywhere")
+    log = FileLog(paths.at("log"), files_per_batch=1)
+    live = i.events.where(is_live(i.settings.cutoff))
+    write_log(encode_wire(live).repartition(5), log)
+    publish_quotes(
+        follow_log(i.spark, log), lambda t: quote_by_pair(t, pairs, everywhere), PAIR_VERSION, paths.predictions,
+        paths.at("checkpoint"), i.settings, dead_path=paths.at("dead"), once=True, compact_after=2,
+    ).awaitTermination()
+    if len(list_files(i.spark, paths.predictions, "batch_id=*")) > 4:
+        raise RuntimeError("batches were not compacted")
+    since, until = datetime(2000, 3, 1), datetime(2000, 6, 1)
+    rows = read_quotes(i.spark, paths.predictions, since, until)
+    inside = (F.col("pickup_datetime") >= F.lit(since)) & (F.col("pickup_datetime") < F.lit(until))
+    return rows.where(inside).select("event_id", "predicted_amount")
+
+
+@query(
+    "s5_independent_consumers",
+    """SELECT consumer, count(*) AS events, CAST(sum(total_c) AS BIGINT) AS cents FROM log
+       CROSS JOIN (SELECT unnest(['one_file', 'three_files']) AS consumer) GROUP BY 1""",
+)
+def s5(i):
+    """Two consumers of one log, each with its own cursor and batch size, read the same events; their progress is a table."""
+    paths = place(i, "consumers")
+    log = FileLog(paths.at("log"))
+    write_log(encode_wire(i.log_events).repartition(7), log)
+    totals = None
+    for name, files in (("one_file", 1), ("three_files", 3)):
+        progress = paths.at(f"progress/{name}")
+
+        def count(rows, batch_id, progress=progress):
+            cents = F.coalesce(F.sum((F.col("total_amount") * 100).cast("bigint")), F.lit(0))
+            done = rows.agg(F.count(F.lit(1)).alias("events"), cents.alias("cents"))
+            done.coalesce(1).write.mode("overwrite").parquet(f"{progress}/batch_id={batch_id}")
+
+        good, _ = read_views(follow_log(i.spark, FileLog(log.folder, files)))
+        writer = good.drop("key").writeStream.option("checkpointLocation", paths.at(f"cursor/{name}"))
+        writer.trigger(availableNow=True).foreachBatch(count).start().awaitTermination()
+        mine = i.spark.read.parquet(progress).select(F.lit(name).alias("consumer"), "batch_id", "events", "cents")
+        totals = mine if totals is None else totals.unionByName(mine)
+    return totals.groupBy("consumer").agg(F.sum("events").alias("events"), F.sum("cents").alias("cents"))
+
+
+@query("r7_recovered_windows", f"SELECT window_start, window_end, grain, zone_id, {_MEASURES}, is_final FROM hot")
+def r7(i):
+    """The hot path stopped after some batches and started again: open windows go on from the checkpoint."""
+    paths = place(i, "recovery")
+    log, early = FileLog(paths.at("log"), files_per_batch=2), F.col("event_id").cast("bigint") % 2 == 0
+    # Each stop falls into open windows: the days of the second portion continue those of the first.
+    days = F.to_date("pickup_datetime")
+    middle = i.log_events.agg(F.max(days)).scalar() - F.expr("interval 10 days")
+    for portion in (days < middle, (days >= middle) & early, (days >= middle) & ~early):
+        ordered = i.log_events.where(portion).repartitionByRange(4, "pickup_datetime")
+        write_log(encode_wire(ordered), log)
+        for stream in run_hot_path(i.spark, log, paths, replace(i.settings, grace_minutes=20 * 24 * 60), once=True):
+            stream.awaitTermination()
+    rows = read_windows(i.spark, paths.at("windows_final"), paths.at("windows_open")).drop("is_final")
+    newest = i.views.agg(F.max("pickup_datetime")).scalar()
+    return mark_final(rows, newest, i.settings.grace_minutes)
+
+
+@query(
+    "r11_replayed_once",
+    """SELECT CAST(pickup_datetime AS DATE) AS d, count(*) AS trips, CAST(sum(total_c) AS BIGINT) AS cents
+       FROM (SELECT * FROM log UNION ALL SELECT * FROM log WHERE event_id % 50 = 0) GROUP BY 1""",
+)
+def r11(i):
+    """A log delivered twice is counted once; two trips that are alike on the narrow view both count.
+
+    Every fiftieth trip has a twin of another provider: only the natural key tells them apart.
+    """
+    paths = place(i, "replayed-once")
+    log = FileLog(paths.at("log"))
+    # The key must be unique per trip: the event's number stands for its provider.
+    own = i.log_events.withColumn("provider_id", F.col("event_id"))
+    twins = own.where(F.col("event_id").cast("bigint") % 50 == 0).withColumn("provider_id", F.concat(F.lit("x"), "event_id"))
+    messages = encode_wire(own.unionByName(twins))
+    write_log(messages.unionByName(messages), log)
+    settings = replace(i.settings, window_minutes=60)
+    for stream in run_hot_path(i.spark, log, paths, settings, once=True, unique=True):
+        stream.awaitTermination()
+    rows = city_rows(read_windows(i.spark, paths.at("windows_final"), paths.at("windows_open")))
+    return rows.groupBy(F.to_date("window_start").alias("d")).agg(
+        F.sum("trip_count").alias("trips"), F.sum((F.col("total_revenue") * 100).cast("bigint")).alias("cents")
+    )

@@ -1,55 +1,90 @@
-"""The fare model: target-encoded zones and the clock into boosted trees, on Spark ML."""
+"""The fare model: target-encoded zones and the clock into boosted trees of Spark ML.
+
+Boosting for absolute loss: each tree is grown on the signs of the residuals, its leaves then quote the exact median of
+the residuals that fall into them. Rows held back from the trees decide how many rounds are kept: training ends
+once `boosting_patience` rounds in a row have not lowered their mean absolute error.
+"""
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.functions.order_stats import exact_median
 from tripflow.operators.baselines import global_median, pair_medians, quote_by_global, quote_by_pair
 from tripflow.operators.encoding import cross_fitted_codes, encode, encode_training, fit_encodings
 from tripflow.operators.evaluation import regression_report
 from tripflow.operators.features import ENCODED, bucket_of_100, features, holdout_split
 from tripflow.schemas import AVERAGE, DOUBLE, LONG, TEXT, struct_of
-from tripflow.session import scratch
+from tripflow.session import scratch, settled
 from tripflow.settings import Settings
 
-MODEL_VERSION = "boosted-1"
+MODEL_VERSION = "boosted-2"
+TREE_DEPTH = 6
+# Residuals are ranked in hundredths of a cent.
+RESIDUAL_UNITS = 100
 _CLOCK = ("hour", "day_of_week", "month")
 _INPUTS = [f"{name}_code" for name in ENCODED] + [*_CLOCK, "passengers", "passengers_missing"]
 _ENCODINGS = struct_of({"feature": TEXT, "category": LONG, "code": DOUBLE})
 
 
+@dataclass
+class Rounds:
+    """What boosting learned: the starting quote and, per kept round, a tree and a value (in cents) per leaf."""
+
+    start: float
+    trees: list[DecisionTreeRegressionModel] | GBTRegressionModel = field(default_factory=list)
+    values: list[list[float]] = field(default_factory=list)
+    trained: int = 0
+    held_back_error: float | None = None
+
+
 @dataclass
 class FareModel:
     version: str
     encodings: DataFrame
     pipeline: PipelineModel
-    # The trees learn (amount - center) / scale, so that a round's step is a share of the usual deviation.
-    center: float = 0.0
-    scale: float = 1.0
-
-    def amount(self) -> Column:
-        return F.round(F.col("prediction") * self.scale + self.center, 2).try_cast(AVERAGE)
+    rounds: Rounds
+
+    def amount(self, rows: DataFrame) -> DataFrame:
+        """The rows with `predicted_amount`: the starting quote plus the value of the row's leaf in every tree."""
+        rows, cents = self.pipeline.transform(rows), F.lit(self.rounds.start)
+        if self.rounds.values:
+            rows = _ensemble(self.rounds.trees).setLeafCol("_leaves").transform(rows)
+            values = F.from_json(F.lit(json.dumps(self.rounds.values)), "array<array<double>>")
+            steps = F.zip_with(vector_to_array("_leaves"), values, lambda leaf, value: F.get(value, leaf.cast("int")))
+            cents = F.aggregate(steps, cents, lambda total, step: total + step)
+        return rows.withColumn("predicted_amount", F.round(cents / 100, 2).try_cast(AVERAGE))
 
     def quote(self, trips: DataFrame) -> DataFrame:
         """Trips with flattened zones plus `predicted_amount`, rounded to cents."""
         whole = trips.select("*", F.struct(*trips.columns).alias("_trip"))
         rows = _numeric(encode(features(whole, keep=["_trip"]), self.encodings))
-        return self.pipeline.transform(rows).select(
-            "_trip.*", self.amount().alias("predicted_amount")
-        )
+        return self.amount(rows).select("_trip.*", "predicted_amount")
+
+    def card(self) -> dict:
+        """What the model's card says about its training."""
+        return {
+            "rounds_trained": self.rounds.trained,
+            "rounds_kept": len(self.rounds.values),
+            "held_back_error_cents": self.rounds.held_back_error,
+        }
 
     def save(self, path: str, metadata: dict) -> None:
         self.encodings.write.mode("overwrite").parquet(f"{path}/encodings")
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        if self.rounds.values:
+            _ensemble(self.rounds.trees).write().overwrite().save(f"{path}/trees")
         spark = self.encodings.sparkSession
-        text = json.dumps({**metadata, "model_version": self.version, "center": self.center, "scale": self.scale})
+        learned = {"start": self.rounds.start, "values": self.rounds.values}
+        text = json.dumps({**metadata, **self.card(), "model_version": self.version, **learned})
         card = spark.createDataFrame([(text,)], "value string")
         card.coalesce(1).write.mode("overwrite").text(f"{path}/card")
 
@@ -57,7 +92,22 @@ class FareModel:
 def load_model(spark: SparkSession, path: str) -> tuple[FareModel, dict]:
     card = json.loads(spark.read.text(f"{path}/card").first()["value"])
     encodings = spark.read.schema(_ENCODINGS).parquet(f"{path}/encodings")
-    return FareModel(card["model_version"], encodings, PipelineModel.load(f"{path}/pipeline"), card["center"], card["scale"]), card
+    trees = GBTRegressionModel.load(f"{path}/trees") if card["values"] else []
+    rounds = Rounds(card["start"], trees, card["values"], card["rounds_trained"], card["held_back_error_cents"])
+    return FareModel(card["model_version"], encodings, PipelineModel.load(f"{path}/pipeline"), rounds), card
+
+
+def _ensemble(trees: list[DecisionTreeRegressionModel] | GBTRegressionModel) -> GBTRegressionModel:
+    """The trees as one Spark model, which finds a row's leaf in all of them at once and can be saved."""
+    if isinstance(trees, GBTRegressionModel):
+        return trees
+    context = SparkSession.getActiveSession().sparkContext
+    kind = context._jvm.org.apache.spark.ml.regression
+    array = context._gateway.new_array(kind.DecisionTreeRegressionModel, len(trees))
+    weights = context._gateway.new_array(context._jvm.double, len(trees))
+    for k, tree in enumerate(trees):
+        array[k], weights[k] = tree._java_obj, 1.0
+    return GBTRegressionModel(kind.GBTRegressionModel(f"fares-{trees[0].uid}", array, weights))
 
 
 def _numeric(rows: DataFrame) -> DataFrame:
@@ -71,61 +121,76 @@ def _feature_rows(rows: DataFrame) -> DataFrame:
     return features(rows, keep=("event_id", "quoted_cents", "quoted_amount"))
 
 
+def boost(rows: DataFrame, settings: Settings) -> Rounds:
+    """Boosted trees over (features, cents, held_back).
+
+    The rows of a round, with their quote so far and their leaf, are written to the shared folder: that cuts the
+    lineage, and a lost executor costs one round at most. A tree's leaves are few (2 ** TREE_DEPTH), so their medians
+    come to the driver.
+    """
+    seen = rows.where(~F.col("held_back"))
+    if seen.isEmpty():
+        return Rounds(0.0)
+    start = float(exact_median(seen, "cents").first()["median"])
+    # Without rows to hold back, the rows that the trees see decide.
+    judged = F.col("held_back") if not rows.where("held_back").isEmpty() else ~F.col("held_back")
+    error_of = lambda frame, quote: frame.where(judged).agg(F.avg(F.abs(F.col("cents") - quote))).first()[0]
+    grower = DecisionTreeRegressor(
+        featuresCol="features", labelCol="sign", leafCol="leaf", maxDepth=TREE_DEPTH, maxBins=255, seed=settings.seed
+    )
+    now, quote = rows.select("features", "cents", "held_back"), F.lit(start)
+    found, least, best = Rounds(start), error_of(now, quote), 0
+    while found.trained < settings.boosting_rounds and found.trained - best < settings.boosting_patience:
+        now = now.select("features", "cents", "held_back", quote.alias("fitted"))
+        sign = F.signum(F.col("cents") - F.col("fitted")).alias("sign")
+        tree = grower.fit(now.where(~F.col("held_back")).select("features", sign))
+        placed = tree.transform(now).select("features", "cents", "held_back", "fitted", F.col("leaf").cast("int").alias("leaf"))
+        now = settled(placed, "boosting")
+        units = F.round((F.col("cents") - F.col("fitted")) * RESIDUAL_UNITS).cast("bigint").alias("units")
+        medians = exact_median(now.where(~F.col("held_back")).select("leaf", units), "units", ["leaf"]).collect()
+        values = [0.0] * (max(r["leaf"] for r in medians) + 1)
+        for r in medians:
+            values[r["leaf"]] = settings.learning_rate * r["median"] / RESIDUAL_UNITS
+        # A leaf that only rows held back reach moves nothing.
+        step = F.coalesce(F.get(F.array(*map(F.lit, values)), F.col("leaf")), F.lit(0.0))
+        quote = F.col("fitted") + step
+        found.trees.append(tree)
+        found.values.append(values)
+        found.trained += 1
+        error = error_of(now, quote)
+        if error < least:
+            least, best = error, found.trained
+    found.trees, found.values, found.held_back_error = found.trees[:best], found.values[:best], least
+    return found
+
+
 def fit_fare_model(train: DataFrame, settings: Settings, version: str = MODEL_VERSION) -> FareModel:
-    """Absolute loss, early stop on a tenth of the training rows that the trees do not see.
+    """Encodings, inputs and trees; a tenth of the training rows is held back to choose the number of rounds.
 
-    The encoded training frame is read once per boosting round, so it is written to the shared folder
-    first; the encodings likewise, because scoring reads them long after the training rows are gone.
+    Encodings are written to the shared folder, because scoring reads them long after the training rows are gone.
     """
     spark = train.sparkSession
-    rows = _feature_rows(train)
-    fitted_at = scratch(spark, "fare-model")
-    fit_encodings(rows).write.parquet(f"{fitted_at}/encodings")
-    middle = rows.agg(F.percentile_approx(F.col("quoted_amount").cast("double"), 0.5, 10_000)).first()[0]
-    spread = rows.agg(F.percentile_approx(F.abs(F.col("quoted_amount").cast("double") - F.lit(middle)), 0.5, 10_000)).first()[0]
-    center, scale = float(middle or 0.0), float(spread or 1.0)
-    encoded = _numeric(encode_training(rows, cross_fitted_codes(rows, settings), settings))
-    (
-        encoded.select(
-            *_INPUTS,
-            ((F.col("quoted_amount").cast("double") - center) / scale).alias("label"),
-            (bucket_of_100(settings.seed + 2) < 10).alias("held_back"),
-        ).write.parquet(f"{fitted_at}/rows")
+    rows = settled(_feature_rows(train), "fare-rows")
+    encodings = f"{scratch(spark, 'fare-model')}/encodings"
+    fit_encodings(rows).write.parquet(encodings)
+    encoded = _numeric(encode_training(rows, cross_fitted_codes(rows, settings), settings)).select(
+        *_INPUTS, F.col("quoted_cents").alias("cents"), (bucket_of_100(settings.seed + 2) < 10).alias("held_back")
     )
+    encoded = settled(encoded, "fare-inputs")
+    inputs = [c if c != "passengers" else "passengers_filled" for c in _INPUTS]
     pipeline = Pipeline(
         stages=[
             Imputer(strategy="median", inputCols=["passengers"], outputCols=["passengers_filled"]),
-            VectorAssembler(
-                inputCols=[c if c != "passengers" else "passengers_filled" for c in _INPUTS],
-                outputCol="features",
-            ),
-            GBTRegressor(
-                featuresCol="features",
-                labelCol="label",
-                lossType="absolute",
-                maxIter=settings.boosting_rounds,
-                stepSize=settings.learning_rate,
-                maxDepth=6,
-                maxBins=255,
-                subsamplingRate=1.0,
-                validationIndicatorCol="held_back",
-                validationTol=0.0003,
-                checkpointInterval=10,
-                seed=settings.seed,
-            ),
+            VectorAssembler(inputCols=inputs, outputCol="features"),
         ]
-    )
-    model = pipeline.fit(spark.read.parquet(f"{fitted_at}/rows"))
-    encodings = spark.read.schema(_ENCODINGS).parquet(f"{fitted_at}/encodings")
-    return FareModel(version, encodings, model, center, scale)
+    ).fit(encoded)
+    ready = pipeline.transform(encoded).select("features", "cents", "held_back")
+    return FareModel(version, spark.read.schema(_ENCODINGS).parquet(encodings), pipeline, boost(ready, settings))
 
 
 def score_holdout(model: FareModel, held: DataFrame) -> DataFrame:
     rows = _numeric(encode(_feature_rows(held), model.encodings))
-    return model.pipeline.transform(rows).select(
-        model.amount().alias("predicted_amount"),
-        F.col("quoted_amount").cast(AVERAGE).alias("actual_amount"),
-    )
+    return model.amount(rows).select("predicted_amount", F.col("quoted_amount").cast(AVERAGE).alias("actual_amount"))
 
 
 def baseline_holdout(train: DataFrame, held: DataFrame) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tripflow.functions.identity import event_key, uuid_of
 from tripflow.functions.once import with_once
 from tripflow.functions.money import kilometres, money, surcharges
-from tripflow.operators.validate import REJECT_REASONS, reject_reason, split
+from tripflow.operators.validate import REJECT_REASONS, canonical_violations, reject_reason, split
 from tripflow.schemas import DOUBLE, MONEY, SCHEMA_VERSION, extras_schema
+from tripflow.session import scratch
 from tripflow.sources.lake import partition_columns
 from tripflow.sources.raw_files import resolve_columns
 
@@ -44,8 +45,8 @@ def judge(raw: DataFrame, month: str | Column | None = None) -> DataFrame:
     return with_once(resolve_columns(raw), REASON, reject_reason(month))
 
 
-def to_canonical(valid: DataFrame, ingested_at: datetime, source: str = "tlc_yellow") -> DataFrame:
-    """Resolved, accepted raw rows as canonical events."""
+def to_canonical(valid: DataFrame, ingested_at: datetime, source: str = "tlc_yellow", *keep: Column) -> DataFrame:
+    """Resolved, accepted raw rows as canonical events, with the columns `keep` in front."""
     total = money("total_amount")
     key = event_key(
         F.col("tpep_pickup_datetime"),
@@ -75,7 +76,7 @@ def to_canonical(valid: DataFrame, ingested_at: datetime, source: str = "tlc_yel
         "total_amount": total,
         "source_extras": extras(source),
     }
-    named = valid.select(*(column.alias(name) for name, column in canonical.items()))
+    named = valid.select(*keep, *(column.alias(name) for name, column in canonical.items()))
     return named.select("*", *partition_columns())
 
 
@@ -107,6 +108,39 @@ def reject_counts() -> list[Column]:
     ]
 
 
+def judged_once(
+    raw: DataFrame,
+    ingested_at: datetime,
+    month: str | Column | None = None,
+    source: str = "tlc_yellow",
+    observation: Observation | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(sound canonical events, rejected raw rows with their reason), from one pass over the raw rows.
+
+    The pass writes every row to the shared folder, as an event or as a reject; whatever reads the two afterwards starts
+    from there. Events that break a canonical constraint are rejects too, with the constraint as their reason.
+    """
+    judged = judge(raw, month)
+    record = F.struct(*(c for c in judged.columns if c != REASON)).alias("_record")
+    events = to_canonical(judged, ingested_at, source, record, F.col(REASON).alias("_raw_reason"))
+    fields = [c for c in events.columns if c not in ("_record", "_raw_reason")]
+    verdict = F.coalesce("_raw_reason", F.get(canonical_violations(), F.lit(0)))
+    ruled = with_once(events, REASON, verdict)
+    if observation is not None:
+        ruled = ruled.observe(observation, *reject_counts())
+    rejected = F.col(REASON).isNotNull()
+    rows = ruled.select(
+        rejected.alias("rejected"),
+        REASON,
+        F.when(rejected, F.col("_record")).alias("record"),
+        F.when(~rejected, F.struct(*fields)).alias("event"),
+    )
+    path = scratch(raw.sparkSession, "judged")
+    rows.write.partitionBy("rejected").parquet(path)
+    held = raw.sparkSession.read.schema(rows.schema).parquet(path)
+    return held.where("not rejected").select("event.*"), held.where("rejected").select("record.*", REASON)
+
+
 def flatten_zones(events: DataFrame) -> DataFrame:
     """Both zones as plain columns in place of the location structs."""
     kept = [c for c in events.columns if c not in ("pickup_location", "dropoff_location")]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,14 +21,15 @@ from tripflow.operators.boosting import (
 from tripflow.operators.dedupe import drop_duplicate_trips
 from tripflow.operators.evaluation import evaluate_daily, improvement_pct
 from tripflow.operators.features import FEATURES, holdout_split, training_rows
-from tripflow.operators.ingest import adapt, flatten_zones
+from tripflow.operators.ingest import REASON, flatten_zones, judged_once
 from tripflow.operators.merge import merge_daily, merge_evaluation
 from tripflow.operators.ownership import check_history_month, is_history, is_live
 from tripflow.operators.rollup import daily_metrics
-from tripflow.operators.validate import canonical_violations, split
-from tripflow.schemas import DAILY, EVALUATION
+from tripflow.operators.validate import split
+from tripflow.schemas import DAILY, EVALUATION, RAW_TYPES, TEXT, struct_of
 from tripflow.session import scratch
 from tripflow.settings import Settings
+from tripflow.sources.files import exists, remove_folder
 from tripflow.sources.lake import read_lake, write_lake
 from tripflow.sources.log import (
     FileLog,
@@ -37,7 +40,14 @@ from tripflow.sources.log import (
     write_log,
 )
 from tripflow.sources.raw_files import read_raw, read_raw_range
-from tripflow.sources.serving_tables import publish_snapshot, read_snapshot
+from tripflow.sources.serving_tables import (
+    days_since,
+    high_water_mark,
+    mark_snapshot,
+    newest_batch,
+    publish_snapshot,
+    read_snapshot,
+)
 from tripflow.sources.wire import decode_wire, encode_wire
 from tripflow.streaming.hot import publish_dead_letters, publish_windows, read_views
 from tripflow.streaming.scoring import Quote, publish_quotes, read_quotes, score
@@ -84,28 +94,64 @@ class Paths:
 
 
 def load_history(
-    raw: DataFrame, paths: Paths, ingested_at: datetime, settings: Settings, month=None
+    raw: DataFrame,
+    paths: Paths,
+    ingested_at: datetime,
+    settings: Settings,
+    month=None,
+    load: str | None = None,
+    loads: Sequence[str] = (),
 ) -> dict[str, int]:
     """Raw rows -> accepted canonical events up to the cutoff -> lake days, counts taken on the way.
 
-    Rejected rows go to their own table with the reason. The counts come from the same job that writes.
+    The raw rows are read and judged once. Rejected rows go to their own table with the reason, under the id of the load:
+    the month they were loaded for, or `load`. `loads` names all ids that this load covers: what an earlier run of them
+    has left goes, also where this one rejects nothing.
     """
     seen = Observation("history_load")
-    events, rejected = adapt(raw, ingested_at, month, settings.source, seen)
-    sound = events.where(F.size(canonical_violations()) == 0)
-    write_lake(sound.where(is_history(settings.cutoff)), paths.lake, settings.source)
-    _write_rejects(rejected, paths, month if isinstance(month, str) else "undated")
+    load = load or (month if isinstance(month, str) else _load_id("load", ingested_at))
+    events, rejected = judged_once(raw, ingested_at, month, settings.source, seen)
+    write_lake(events.where(is_history(settings.cutoff)), paths.lake, settings.source)
+    write_rejects(rejected, paths, load, loads, by_month=isinstance(month, Column))
     return dict(seen.get)
 
 
-def _write_rejects(rejected: DataFrame, paths: Paths, load: str) -> None:
-    """Rejected rows by the month they were loaded for; a repeated load replaces its own."""
+def _load_id(kind: str, at: datetime) -> str:
+    return f"{kind}-{at:%Y%m%dT%H%M%S}"
+
+
+_LOAD_ID = re.compile(r"[A-Za-z0-9._-]+")
+REJECTS = struct_of({**RAW_TYPES, REASON: TEXT, "load_id": TEXT})
+
+
+def write_rejects(
+    rejected: DataFrame, paths: Paths, load: str, loads: Sequence[str] = (), by_month: bool = False
+) -> None:
+    """Publish the rejected rows of a load: a repeated load replaces its own rows, a new one adds to those of others.
+
+    With `by_month`, rows with a source month belong to the load of that month, all others to `load`.
+    """
+    spark, covered = rejected.sparkSession, {load, *loads}
+    for name in covered:
+        if not _LOAD_ID.fullmatch(name):
+            raise ValueError(f"load id {name!r}: letters, digits, '.', '_' and '-' only")
     named = F.lit(load)
-    if "source_month" in rejected.columns:
+    if by_month and "source_month" in rejected.columns:
         named = F.coalesce(F.date_format("source_month", "yyyy-MM"), named)
-    rows = rejected.withColumn("load_month", named).drop("source_month")
+    rows = rejected.withColumn("load_id", named).select(*REJECTS.names)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("load_month").parquet(paths.rejects)
+    writer.partitionBy("load_id").parquet(paths.rejects)
+    # One id per month at most.
+    kept = {r["load_id"] for r in rows.select("load_id").distinct().collect()}
+    for name in covered - kept:
+        remove_folder(spark, f"{paths.rejects}/load_id={name}")
+
+
+def read_rejects(spark: SparkSession, paths: Paths) -> DataFrame:
+    """All rejected rows with their reason and load; empty before the first load."""
+    if not exists(spark, paths.rejects):
+        return spark.createDataFrame([], REJECTS)
+    return spark.read.schema(REJECTS).parquet(paths.rejects)
 
 
 def bulk_load(
@@ -125,13 +171,18 @@ def stream_to_lake(
     """
     read = Observation("log_read")
     kept = Observation("log_kept")
+    # Decoded once: events and dead letters are read from what that pass has written.
     judged = decode_wire(read_log(spark, log), settings.source)
-    good, dead = split(judged, "wire_error")
+    held = scratch(spark, "decoded-log")
+    judged.withColumn("dead", F.col("wire_error").isNotNull()).write.partitionBy("dead").parquet(held)
+    decoded = spark.read.schema(judged.schema).parquet(held).select(*judged.columns)
+    good, dead = split(decoded, "wire_error")
     live = good.drop("value").where(is_live(settings.cutoff))
     counted = live.observe(read, F.count(F.lit(1)).alias("rows_before"))
     unique = drop_duplicate_trips(counted).observe(kept, F.count(F.lit(1)).alias("rows_after"))
     write_lake(unique, paths.lake, settings.source)
     dead.select("value", "wire_error").write.mode("overwrite").parquet(paths.dead_letters)
+    remove_folder(spark, held)
     before, after = read.get["rows_before"], kept.get["rows_after"]
     return {"rows_before": before, "rows_after": after, "collapsed": before - after}
 
@@ -195,10 +246,11 @@ def backfill(
     settings: Settings,
 ) -> dict[str, int]:
     """All months of a range in one plan, then one daily recompute from the first of them."""
-    for month in month_list(start, end):
+    months = month_list(start, end)
+    for month in months:
         check_history_month(month, settings.cutoff)
     raw = read_raw_range(spark, folder, start, end)
-    counts = load_history(raw, paths, ingested_at, settings, F.col("source_month"))
+    counts = load_history(raw, paths, ingested_at, settings, F.col("source_month"), "undated", months)
     first = datetime.strptime(start, "%Y-%m")
     aggregate_daily(spark, paths, ingested_at, settings, since=first)
     return counts
@@ -208,7 +260,7 @@ def run_hot_path(
     spark: SparkSession, log: Log, paths: Paths, settings: Settings, once: bool = False, unique: bool = False
 ) -> list[StreamingQuery]:
     """Start the window queries and the dead-letter query, each with its own checkpoint."""
-    good, dead = read_views(follow_log(spark, log))
+    good, dead = read_views(follow_log(spark, log), keyed=unique)
     good = good.drop("key")
     at = paths.at
     return [
@@ -216,7 +268,8 @@ def run_hot_path(
             good, "append", at("windows_final"), at("_checkpoints/windows_final"), settings, once=once, unique=unique
         ),
         publish_windows(
-            good, "update", at("windows_open"), at("_checkpoints/windows_open"), settings, once=once, unique=unique
+            good, "update", at("windows_open"), at("_checkpoints/windows_open"), settings, once=once, unique=unique,
+            final_path=at("windows_final"),
         ),
         publish_dead_letters(
             dead, at("hot_dead_letters"), at("_checkpoints/hot_dead_letters"), settings, once=once
@@ -243,6 +296,7 @@ def train(spark: SparkSession, paths: Paths, trained_at: datetime, settings: Set
         "features": list(FEATURES),
         "metrics": metrics,
         "improvement_over_lookup_pct": None if gain[2] is None else float(gain[2]),
+        **model.card(),
     }
     model.save(paths.model, metadata)
     return metadata
@@ -268,6 +322,7 @@ def score_stream(
         paths.predictions,
         paths.at("_checkpoints/predictions"),
         settings,
+        dead_path=paths.at("scoring_dead_letters"),
         once=once,
     )
 
@@ -278,19 +333,30 @@ def score_batch(events: DataFrame, quote: Quote, version: str, settings: Setting
 
 
 def evaluate(spark: SparkSession, paths: Paths, now: datetime) -> dict[str, int]:
-    """Recompute every evaluated day from the predictions and publish what changed."""
-    staged = evaluate_daily(read_quotes(spark, paths.predictions))
+    """Bring the evaluation up to date with the predictions and publish what changed.
+
+    The newest snapshot notes the batch it was computed up to. Only days that later batches touched are computed again,
+    each from all of its predictions; without later batches no prediction is read.
+    """
+    newest, mark = newest_batch(spark, paths.predictions), high_water_mark(spark, paths.evaluation)
+    if newest is None or (mark is not None and newest <= mark):
+        return {"inserted": 0, "updated": 0, "unchanged": 0, "kept": 0}
+    days = None if mark is None else days_since(spark, paths.predictions, mark)
+    staged = evaluate_daily(read_quotes(spark, paths.predictions, days=days))
     current = read_snapshot(spark, paths.evaluation, EVALUATION)
-    return _publish(merge_evaluation(current, staged, now, action="_took"), paths.evaluation)
+    counts = _publish(merge_evaluation(current, staged, now, action="_took"), paths.evaluation)
+    mark_snapshot(spark, paths.evaluation, newest)
+    return counts
 
 
 def ingest_validate(
-    raw: DataFrame, log: Log, paths: Paths, ingested_at: datetime, settings: Settings
+    raw: DataFrame, log: Log, paths: Paths, ingested_at: datetime, settings: Settings, load: str | None = None
 ) -> DataFrame:
-    """Raw rows to wire messages on the log; returns the rejected rows, which are stored as well."""
-    events, rejected = adapt(raw, ingested_at, None, settings.source)
-    sound = events.where(F.size(canonical_violations()) == 0)
-    write_log(encode_wire(sound), log)
-    _write_rejects(rejected, paths, "ingest")
-    return rejected
+    """Raw rows to wire messages on the log; returns the rejected rows, which are stored as well.
 
+    Rejects are kept under the id of the load (the ingest time, unless `load` names one).
+    """
+    events, rejected = judged_once(raw, ingested_at, None, settings.source)
+    write_log(encode_wire(events), log)
+    write_rejects(rejected, paths, load or _load_id("ingest", ingested_at))
+    return rejected

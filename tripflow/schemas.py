@@ -160,6 +160,10 @@ VIEW_TEXT = struct_of(
         "trip_distance_km": TEXT,
     }
 )
+# What the natural key of a trip needs besides.
+KEY_TEXT = struct_of(
+    {"dropoff_datetime": TEXT, "dropoff_location": struct_of({"zone_id": TEXT}), "provider_id": TEXT}
+)
 TOPIC = struct_of({"key": TEXT, "value": TEXT})
 
 # --- serving tables ----------------------------------------------------------------------------------

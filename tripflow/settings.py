@@ -28,6 +28,7 @@ class Settings:
     seed: int = 42
     encoding_folds: int = 5
     boosting_rounds: int = 300
+    boosting_patience: int = 20
     learning_rate: float = 0.1
 
     # Anomaly rules.

@@ -25,3 +25,17 @@ def exists(spark: SparkSession, path: str) -> bool:
 def make_folder(spark: SparkSession, path: str) -> None:
     target, fs = _client(spark, path)
     fs.mkdirs(target)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file or folder another name on the same file system."""
+    source, fs = _client(spark, path)
+    target, _ = _client(spark, to)
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it; an absent one is fine."""
+    target, fs = _client(spark, path)
+    fs.delete(target, True)

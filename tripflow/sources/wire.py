@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType, TimestampType
 
+from tripflow.functions.identity import event_key, uuid_of
 from tripflow.functions.once import with_once
 from tripflow.functions.time import iso_text
 from tripflow.operators.validate import canonical_violations
@@ -21,6 +22,7 @@ from tripflow.schemas import (
     DOUBLE,
     INSTANT,
     INT,
+    KEY_TEXT,
     MONEY,
     REQUIRED_CANONICAL,
     VIEW_TEXT,
@@ -91,14 +93,15 @@ def decode_wire(messages: DataFrame, source: str) -> DataFrame:
     return with_once(flagged, "wire_error", error).drop("_unreadable")
 
 
-def decode_view(messages: DataFrame) -> DataFrame:
+def decode_view(messages: DataFrame, keyed: bool = False) -> DataFrame:
     """The few fields window metrics need; unknown fields are ignored.
 
-    Carries every column of `messages` along (arrival numbers, for one) and adds `view_error`.
+    Carries every column of `messages` along (arrival numbers, for one) and adds `view_error`. With `keyed` also
+    `trip_key`, the digest of the natural key that tells copies of a trip from other trips.
     """
     text = F.col("value").cast("string")
     m = lambda path: F.col(f"_m.{path}")
-    parsed = with_once(messages, "_m", F.from_json(text, VIEW_TEXT))
+    parsed = with_once(messages, "_m", F.from_json(text, StructType([*VIEW_TEXT.fields, *(KEY_TEXT.fields if keyed else ())])))
     pickup, bad_pickup = _typed(m("pickup_datetime"), INSTANT)
     zone, bad_zone = _typed(m("pickup_location.zone_id"), INT)
     fare, bad_fare = _typed(m("fare_amount"), MONEY)
@@ -110,6 +113,10 @@ def decode_view(messages: DataFrame) -> DataFrame:
     tip = F.when(m("tip_amount").isNotNull(), tip_read).when(~tip_named, F.lit(0).cast(MONEY))
     unreadable = bad_pickup | bad_zone | bad_fare | bad_total | bad_km | bad_tip
     carried = [c for c in messages.columns if c != "value"]
+    digest = []
+    if keyed:
+        dropoff, to = m("dropoff_datetime").try_cast(INSTANT), m("dropoff_location.zone_id").try_cast(INT)
+        digest = [uuid_of(event_key(pickup, dropoff, zone, to, total, m("provider_id"))).alias("trip_key")]
     decoded = parsed.select(
         *carried,
         pickup.alias("pickup_datetime"),
@@ -118,6 +125,7 @@ def decode_view(messages: DataFrame) -> DataFrame:
         tip.alias("tip_amount"),
         total.alias("total_amount"),
         km.alias("trip_distance_km"),
+        *digest,
         unreadable.alias("_unreadable"),
         m("pickup_location").isNull().alias("_no_place"),
         text.alias("value"),

@@ -12,34 +12,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tripflow.operators.merge import WINDOW_KEYS
 from tripflow.operators.rollup import window_metrics_stream
 from tripflow.operators.serving import serving_windows
 from tripflow.operators.validate import split
 from tripflow.schemas import MEASURES, WINDOWS
 from tripflow.settings import Settings
-from tripflow.sources.serving_tables import read_batches, write_batch
+from tripflow.sources.serving_tables import COMPACT_AFTER, compact, due, read_batches, write_batch
 from tripflow.sources.wire import decode_view
 
-# Fields two copies of one trip share on the narrow view.
+# Fields two copies of one trip share on the narrow view, where its natural key is not carried along.
 VIEW_KEY = ("pickup_datetime", "zone_id", "fare_amount", "tip_amount", "total_amount", "trip_distance_km")
 WINDOW_ROWS = StructType([f for f in WINDOWS.fields if f.name != "is_final"])
 
 
-def read_views(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(usable events, dead letters) of a batch or a stream of messages."""
-    good, dead = split(decode_view(messages), "view_error")
+def read_views(messages: DataFrame, keyed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(usable events, dead letters) of a batch or a stream of messages; `keyed` adds `trip_key`, the natural key's digest."""
+    good, dead = split(decode_view(messages, keyed), "view_error")
     return good.drop("value"), dead.select("value", "view_error")
 
 
 def window_stream(views: DataFrame, settings: Settings, unique: bool = False) -> DataFrame:
     """Watermarked window metrics.
 
-    With `unique`, copies of a trip inside the watermark are counted once; off by default, so that a
-    double replay stays visible as a difference between the hot and the cold counts.
+    With `unique`, copies of a trip inside the watermark are counted once, told by their natural key where the views carry
+    it; off by default, so that a double replay stays visible as a difference between the hot and the cold counts.
     """
     marked = views.withWatermark("pickup_datetime", settings.grace)
     if unique:
-        marked = marked.dropDuplicatesWithinWatermark(list(VIEW_KEY))
+        marked = marked.dropDuplicatesWithinWatermark(["trip_key"] if "trip_key" in views.columns else list(VIEW_KEY))
     return window_metrics_stream(marked, settings.window_minutes).select(
         "window_start", "window_end", "grain", "zone_id", *MEASURES
     )
@@ -60,19 +61,39 @@ def publish_windows(
     *,
     once: bool = False,
     unique: bool = False,
+    final_path: str | None = None,
+    compact_after: int = COMPACT_AFTER,
 ) -> StreamingQuery:
     """One of the two queries: mode 'append' for final rows, 'update' for open windows.
 
-    `once` works off what the log holds and stops; otherwise the query runs until it is stopped.
+    `once` works off what the log holds and stops; otherwise the query runs until it is stopped. Batches are compacted as
+    they add up; provisional rows of windows that are final in `final_path` are dropped then.
     """
+
+    def publish(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        write_batch(rows, batch_id, path, "window_start")
+        if due(spark, path, compact_after):
+            compact_windows(spark, path, final_path)
+
     writer = (
         window_stream(views, settings, unique)
         .writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
     )
-    return _trigger(writer, settings, once).foreachBatch(
-        lambda rows, batch_id: write_batch(rows, batch_id, path)
-    ).start()
+    return _trigger(writer, settings, once).foreachBatch(publish).start()
+
+
+def compact_windows(spark: SparkSession, path: str, final_path: str | None = None) -> int | None:
+    """One row per window; of open windows, those that `final_path` holds as final are dropped."""
+
+    def open_ones(rows: DataFrame) -> DataFrame:
+        final = read_batches(spark, final_path, WINDOW_ROWS).select(*(F.col(k).alias(f"_{k}") for k in WINDOW_KEYS))
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in WINDOW_KEYS]
+        return rows.join(final, same[0] & same[1] & same[2], "left_anti")
+
+    keep = open_ones if final_path else None
+    return compact(spark, path, WINDOW_ROWS, WINDOW_KEYS, [F.desc("batch_id")], "window_start", keep)
 
 
 def publish_dead_letters(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,20 +11,33 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripflow.operators.baselines import as_predictions
 from tripflow.operators.dedupe import first_per_key
+from tripflow.operators.features import quoted_amount
 from tripflow.operators.ingest import flatten_zones
 from tripflow.operators.ownership import is_live
 from tripflow.operators.validate import split
-from tripflow.schemas import PREDICTIONS
+from tripflow.schemas import AVERAGE, PREDICTIONS
+from tripflow.session import scratch
 from tripflow.settings import Settings
-from tripflow.sources.serving_tables import read_batches, write_batch
+from tripflow.sources.files import remove_folder
+from tripflow.sources.serving_tables import COMPACT_AFTER, compact, due, read_batches, write_batch
 from tripflow.sources.wire import decode_wire
 
 Quote = Callable[[DataFrame], DataFrame]
 
 
-def live_events(messages: DataFrame, settings: Settings) -> DataFrame:
+def newest_quote() -> list:
+    return [F.desc("batch_id"), F.desc("predicted_at")]
+
+
+def readable(messages: DataFrame, settings: Settings) -> DataFrame:
+    """Messages decoded, each with its `wire_error`; a price that a quote cannot hold is one too."""
+    judged = decode_wire(messages, settings.source)
+    wide = F.col("wire_error").isNull() & quoted_amount().isNotNull() & quoted_amount().try_cast(AVERAGE).isNull()
+    return judged.withColumn("wire_error", F.when(wide, "price_out_of_range").otherwise(F.col("wire_error")))
+
+
+def live_events(good: DataFrame, settings: Settings) -> DataFrame:
     """Readable events after the cutoff with flattened zones; earlier ones belong to the history."""
-    good, _ = split(decode_wire(messages, settings.source), "wire_error")
     return flatten_zones(good.drop("value").where(is_live(settings.cutoff)))
 
 
@@ -39,14 +53,29 @@ def publish_quotes(
     checkpoint: str,
     settings: Settings,
     *,
+    dead_path: str,
     once: bool = False,
+    compact_after: int = COMPACT_AFTER,
 ) -> StreamingQuery:
-    """Score every micro-batch and publish it under its batch id; a repeated batch replaces itself."""
+    """Score every micro-batch: quotes and dead letters are published under its batch id, and a repeated batch replaces both.
+
+    A message is decoded once; what was read lies in the shared folder until both tables are written.
+    """
 
-    def publish(events: DataFrame, batch_id: int) -> None:
-        write_batch(score(events, quote, version), batch_id, path)
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        held = scratch(spark, "scored-batch")
+        judged = readable(batch, settings)
+        judged.write.parquet(held)
+        good, dead = split(spark.read.schema(judged.schema).parquet(held), "wire_error")
+        write_batch(score(live_events(good, settings), quote, version), batch_id, path, "pickup_datetime")
+        target = f"{dead_path.rstrip('/')}/batch_id={batch_id}"
+        dead.select("value", "wire_error").write.mode("overwrite").parquet(target)
+        remove_folder(spark, held)
+        if due(spark, path, compact_after):
+            compact(spark, path, PREDICTIONS, ["event_id"], newest_quote(), "pickup_datetime")
 
-    writer = live_events(messages, settings).writeStream.option("checkpointLocation", checkpoint)
+    writer = messages.writeStream.option("checkpointLocation", checkpoint)
     writer = (
         writer.trigger(availableNow=True)
         if once
@@ -55,7 +84,13 @@ def publish_quotes(
     return writer.foreachBatch(publish).start()
 
 
-def read_quotes(spark: SparkSession, path: str) -> DataFrame:
-    """One row per event: the quote written last."""
-    rows = read_batches(spark, path, PREDICTIONS)
-    return first_per_key(rows, ["event_id"], [F.desc("batch_id"), F.desc("predicted_at")]).drop("batch_id")
+def read_quotes(
+    spark: SparkSession,
+    path: str,
+    since: datetime | date | None = None,
+    until: datetime | date | None = None,
+    days: list[str] | None = None,
+) -> DataFrame:
+    """One row per event: the quote written last. Event times or days bound the folders that are read."""
+    rows = read_batches(spark, path, PREDICTIONS, since, until, days)
+    return first_per_key(rows, ["event_id"], newest_quote()).drop("batch_id")
