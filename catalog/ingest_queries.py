@@ -248,7 +248,7 @@ def s15(i):
     "SELECT DISTINCT CAST(year(pickup_datetime) AS INT) AS year, CAST(month(pickup_datetime) AS INT) AS month FROM trips",
 )
 def s16(i):
-    return lake_months(read_lake(i.spark, stored_lake(i), i.settings.source))
+    return lake_months(i.spark, stored_lake(i))
 
 
 @query(

@@ -47,7 +47,7 @@ def test_lake_rewrites_only_its_days_and_prunes(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
     assert "GreaterThanOrEqual(pickup_datetime" in plan
     assert [r.day for r in ranged.collect()] == [2]
-    assert [tuple(r) for r in lake_months(lake).collect()] == [(2025, 3)]
+    assert [tuple(r) for r in lake_months(spark, path).collect()] == [(2025, 3)]
     assert all(r.files == 1 and r.stray_rows == 0 for r in layout_report(lake).collect())
 
 

@@ -63,3 +63,36 @@ def test_leave_group_out_median(spark):
             assert r.others_median == statistics.median([m for d, _, m in data if d != r.d])
     single = spark.createDataFrame([(1, "a", 1.0)], "d int, version string, mae double")
     assert leave_group_out_median(single, "mae", "d", ["version"]).count() == 0
+
+
+def test_running_max_keeps_rows_without_arrival_and_equal_arrivals(spark):
+    rng = random.Random(5)
+    data = [(None if k % 7 == 0 else 3 if k % 2 else 1 << 40, k, rng.randint(0, 1000)) for k in range(400)]
+    df = spark.createDataFrame(data, "arrival bigint, id bigint, v bigint").repartition(5)
+    got = {r.id: r.m for r in running_max_before(df, "v", "arrival", "id", "m", chunk=16).collect()}
+    top, want = None, {}
+    for arrival, k, v in sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        want[k] = top
+        top = v if top is None else max(top, v)
+    assert got == want
+
+
+def test_quota_may_depend_on_the_number_of_groups(spark):
+    df = spark.range(1000).selectExpr("id", "id % 4 as g")
+    got = smallest_per_group(df, ["g"], F.xxhash64("id"), lambda groups: 40 // groups)
+    assert {r.g: r["count"] for r in got.groupBy("g").count().collect()} == {g: 10 for g in range(4)}
+    assert smallest_per_group(df.limit(0), ["g"], F.xxhash64("id"), lambda groups: 5).isEmpty()
+
+
+def test_ordered_prefix_narrows_a_hot_day(spark):
+    from datetime import datetime, timedelta
+
+    from tripflow.sources.raw_files import ordered_prefix
+
+    start = datetime(2025, 5, 1)
+    data = [(k, start + timedelta(seconds=k // 3)) for k in range(5000)]
+    df = spark.createDataFrame(data, "id bigint, t timestamp")
+    for n in (1, 10, 777, 4999, 5000, 6000):
+        got = ordered_prefix(df, start, n, "t", ["id"])
+        assert [r.id for r in got.collect()] == list(range(min(n, 5000)))
+    assert ordered_prefix(df, datetime(2026, 1, 1), 5, "t", ["id"]).isEmpty()

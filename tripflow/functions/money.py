@@ -30,9 +30,15 @@ def money(name: str) -> Column:
     return exact(name).try_cast(MONEY)
 
 
+# The smallest doubles that the exact types cannot hold once they are rounded to their last place.
+BOUNDS = {MONEY: 9_999_999_999.995, WIDE: 1e12}
+# Sums of doubles within these bounds are exact to less than this.
+BLUR = 0.01
+
+
 def unrepresentable(name: str, kind=MONEY) -> Column:
-    """Whether a value is there that the exact type cannot hold (infinite, or out of range)."""
-    return F.col(name).isNotNull() & F.col(name).try_cast(WIDE).try_cast(kind).isNull()
+    """Whether a double is there that the exact type cannot hold (not a number, infinite, or out of range)."""
+    return F.coalesce(F.abs(F.col(name)) >= BOUNDS[kind], F.lit(False))
 
 
 def surcharges() -> Column:
@@ -41,6 +47,17 @@ def surcharges() -> Column:
     return reduce(add, (F.coalesce(exact(part), zero) for part in SURCHARGE_PARTS))
 
 
+def rough_surcharges() -> Column:
+    """The same sum in doubles, for comparisons that need no last place."""
+    return reduce(add, (F.coalesce(F.col(part), F.lit(0.0)) for part in SURCHARGE_PARTS))
+
+
+def negative_surcharges() -> Column:
+    """Whether the parts add up to less than nothing; the exact sum is only formed where the rough one is too close."""
+    rough = rough_surcharges()
+    return F.when(F.abs(rough) > BLUR, rough < 0).otherwise(surcharges() < 0)
+
+
 def kilometres(miles: str) -> Column:
     return (exact(miles) * F.lit(KM_PER_MILE).cast("decimal(7,6)")).cast("double")
 

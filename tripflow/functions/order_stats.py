@@ -8,13 +8,15 @@ shuffle, so a value repeated a billion times is one row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripflow.session import settled
+
 # DECIMAL(12,2) amounts are below 10^12 cents, so both levels hold at most 10^6 rows per group.
 VALUE_BAND = 1_000_000
 # The top 16 bits of a 64-bit hash: at most 65,536 bands, in hash order.
@@ -69,36 +71,38 @@ def exact_median(df: DataFrame, value: str, keys: Sequence[str] = (), out: str =
 
 
 def smallest_per_group(
-    df: DataFrame, groups: Sequence[str], rank_hash: Column, wanted: Column | int
+    df: DataFrame, groups: Sequence[str], rank_hash: Column, wanted: int | Callable[[int], int]
 ) -> DataFrame:
     """The `wanted` rows of each group with the smallest hash: an exact, repeatable stratified sample.
 
-    Whole bands below the critical one pass without a shuffle of their rows. Inside the critical band
-    identical rows are counted first and re-expanded, so copies of one row cannot crowd one task.
+    `wanted` is a number, or a function of the number of groups. The source is read twice: for a sketch (rows per group
+    and band of the hash, which adds up from any parts), and for the rows up to the band that decides. From there on
+    only these rows are touched, from the shared folder: whole bands below pass as they are, and inside the
+    deciding band identical rows are counted first and re-expanded, so copies of one row cannot crowd one task.
     """
     groups, columns = list(groups), df.columns
-    wanted = wanted if isinstance(wanted, Column) else F.lit(wanted)
     hashed = df.withColumn("_hash", rank_hash.cast("bigint")).withColumn(
         "_band", F.shiftright("_hash", HASH_BAND_SHIFT)
     )
+    sketch = settled(hashed.groupBy(*groups, "_band").agg(F.count(F.lit(1)).alias("_n")), "hash-sketch")
+    if callable(wanted):
+        wanted = wanted(sketch.select(*groups).distinct().count())
     by_band = Window.partitionBy(*groups).orderBy("_band")
     edges = (
-        hashed.groupBy(*groups, "_band")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(by_band))
-        .withColumn("_want", wanted)
-        .where(F.col("_upto") - F.col("_n") < F.col("_want"))
+        sketch.withColumn("_upto", F.sum("_n").over(by_band))
+        .where(F.col("_upto") - F.col("_n") < wanted)
         .groupBy(*groups)
         .agg(
             F.max("_band").alias("_edge"),
-            F.max_by(F.col("_want") - (F.col("_upto") - F.col("_n")), "_band").alias("_left"),
+            F.max_by(F.lit(wanted) - (F.col("_upto") - F.col("_n")), "_band").alias("_left"),
         )
     )
-    placed = (
+    placed = settled(
         hashed.alias("r")
         .join(edges.alias("e"), _same("r", "e", groups))
         .where(F.col("_band") <= F.col("_edge"))
-        .select(*(f"r.{c}" for c in columns), "_hash", "_band", "_edge", "_left")
+        .select(*(f"r.{c}" for c in columns), "_hash", "_band", "_edge", "_left"),
+        "sampled",
     )
     below = placed.where(F.col("_band") < F.col("_edge")).select(*columns)
     order = Window.partitionBy(*groups).orderBy("_hash", *(c for c in columns if c not in groups))
@@ -116,27 +120,30 @@ def smallest_per_group(
 
 
 def running_max_before(
-    df: DataFrame, value: str, arrival: str, tie: str, out: str, chunk: int = 1 << 20
+    df: DataFrame, value: str, arrival: str, tie: str, out: str, chunk: int = 1 << 18
 ) -> DataFrame:
-    """Largest `value` among all rows that arrived earlier, over one global arrival order.
+    """Largest `value` among all rows that arrived earlier, over one global arrival order (missing arrivals first).
 
-    Two-pass prefix maximum: rows are cut into chunks of the arrival number, each chunk is scanned on its
-    own, and only the per-chunk maxima (one row per `chunk` rows) are scanned globally.
+    Two-pass prefix maximum. A range sort puts the rows in order, and chunks are cut by their measured number of rows
+    within the sorted parts: however sparse or repeated the arrival numbers are, a chunk has at most `chunk` rows (a
+    power of two). Each chunk is scanned on its own, and only the chunks' maxima are scanned globally.
     """
-    chunked = df.withColumn("_chunk", F.floor(F.col(arrival) / chunk))
+    # The row number spreads rows that agree in arrival and tie over several parts.
+    order = [F.col(arrival).asc_nulls_first(), F.col(tie).asc_nulls_first(), "_spread"]
+    spread = df.withColumn("_spread", F.monotonically_increasing_id()).repartitionByRange(*order)
+    placed = spread.sortWithinPartitions(*order).drop("_spread").withColumn("_row", F.monotonically_increasing_id())
+    chunked = settled(placed.withColumn("_chunk", F.floor(F.col("_row") / chunk)), "arrivals")
     ahead = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         chunked.groupBy("_chunk")
         .agg(F.max(value).alias("_max"))
         .select("_chunk", F.max("_max").over(ahead).alias("_carried"))
     )
-    inside = (
-        Window.partitionBy("_chunk").orderBy(arrival, tie).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    inside = Window.partitionBy("_chunk").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     return (
         chunked.join(carried, "_chunk")
         .withColumn(out, F.greatest(F.max(value).over(inside), F.col("_carried")))
-        .drop("_chunk", "_carried")
+        .drop("_row", "_chunk", "_carried")
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,7 +95,7 @@ def stable_hash(seed: int, *columns: str) -> Column:
 
 
 def monthly_sample(
-    trips: DataFrame, per_month: Column | int, rank_hash: Column, month: str = "source_month"
+    trips: DataFrame, per_month: int | Callable[[int], int], rank_hash: Column, month: str = "source_month"
 ) -> DataFrame:
     """Up to `per_month` rows of every month without replacement, repeatable on any partitioning."""
     return smallest_per_group(trips, [month], rank_hash, per_month)
@@ -106,12 +106,9 @@ def training_rows(trips: DataFrame, settings: Settings, rank_hash: Column | None
     history = with_target(trips.where(is_history(settings.cutoff))).select(
         F.trunc("pickup_datetime", "month").alias("source_month"), *SAMPLE_COLUMNS
     )
-    # The per-month quota follows from the number of months present; only that number is looked up.
-    months = history.agg(F.count_distinct("source_month").alias("m")).select(
-        F.greatest(F.floor(F.lit(settings.train_sample_rows) / F.greatest("m", F.lit(1))), F.lit(1))
-    )
     hashed = stable_hash(settings.seed, "event_id") if rank_hash is None else rank_hash
-    sample = monthly_sample(history, months.scalar(), hashed)
+    # The quota of a month follows from the number of months present, which the sample's own sketch tells.
+    sample = monthly_sample(history, lambda months: max(1, settings.train_sample_rows // max(1, months)), hashed)
     return sample.where(usable_target(settings)).drop("source_month")
 
 

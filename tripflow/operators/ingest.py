@@ -70,7 +70,7 @@ def to_canonical(valid: DataFrame, ingested_at: datetime, source: str = "tlc_yel
         "provider_id": F.col("VendorID").cast("string"),
         "payment_type": payment_type(F.col("payment_type")),
         "fare_amount": money("fare_amount"),
-        "surcharges_amount": surcharges().cast(MONEY),
+        "surcharges_amount": surcharges().try_cast(MONEY),
         "tip_amount": money("tip_amount"),
         "tolls_amount": money("tolls_amount"),
         "total_amount": total,

@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.functions.money import SURCHARGE_PARTS, surcharges, unrepresentable
+from tripflow.functions.money import BOUNDS, SURCHARGE_PARTS, negative_surcharges, rough_surcharges, unrepresentable
 from tripflow.functions.time import month_span
 from tripflow.schemas import AMOUNTS, MONEY, REQUIRED_RAW, WIDE
 
@@ -44,10 +44,10 @@ def reject_reason(month: str | Column | None = None) -> Column:
         "missing_required": reduce(or_, (F.col(c).isNull() for c in REQUIRED_RAW)),
         "out_of_range": reduce(or_, (unrepresentable(c) for c in (*charged, *SURCHARGE_PARTS)))
         | unrepresentable("trip_distance", WIDE)
-        | surcharges().try_cast(MONEY).isNull(),
+        | (F.abs(rough_surcharges()) >= BOUNDS[MONEY]),
         "negative_distance": F.col("trip_distance") < 0,
         "dropoff_not_after_pickup": dropoff <= pickup,
-        "negative_money": reduce(or_, (F.col(c) < 0 for c in charged)) | (surcharges() < 0),
+        "negative_money": reduce(or_, (F.col(c) < 0 for c in charged)) | negative_surcharges(),
         "negative_passenger_count": F.col("passenger_count") < 0,
         "outside_source_month": F.lit(False) if month is None else ~F.coalesce(in_month(pickup, month), F.lit(False)),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tripflow.functions.time import at_or_after
 from tripflow.schemas import PARTITIONS, conform, lake_schema
+from tripflow.sources.files import list_files
+
+_MONTH_FOLDER = re.compile(r"/year=(\d+)/month=(\d+)$")
 
 
 def partition_columns(time: str = "pickup_datetime") -> list[Column]:
@@ -73,9 +77,10 @@ def read_lake(
     return lake.where(at_or_after(time, since, until))
 
 
-def lake_months(lake: DataFrame) -> DataFrame:
-    """Months present. Only partition values are needed, so no data file is decoded."""
-    return lake.select("year", "month").distinct()
+def lake_months(spark: SparkSession, path: str) -> DataFrame:
+    """Months present, from the names of the folders: no task looks at a data file."""
+    found = (_MONTH_FOLDER.search(folder) for folder in list_files(spark, path, "year=*/month=*"))
+    return spark.createDataFrame(sorted((int(m[1]), int(m[2])) for m in found if m), "year int, month int")
 
 
 def layout_report(lake: DataFrame) -> DataFrame:
