@@ -24,13 +24,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tripflow.llm.common import lean
+from tripflow.llm.common import lean, sliced
 
 # A task remembers the encodings of so many pieces (twice as many: the older half goes when the younger is full) and the
-# last tokens of so many prefixes, a worker so many pairs of neighbours: together about 80 MB; then they start afresh.
-REMEMBERED_PIECES = 70_000
-REMEMBERED_PREFIXES = 100_000
-REMEMBERED_PAIRS = 200_000
+# last tokens of so many prefixes, a worker so many pairs of neighbours; then they start afresh. `share` scales all three.
+REMEMBERED_PIECES = 150_000
+REMEMBERED_PREFIXES = 600_000
+REMEMBERED_PAIRS = 400_000
 # Prefixes of longer pieces are not shared among pieces: remembering them would take the square of the length.
 SHARED_PREFIX_BYTES = 48
 
@@ -55,6 +55,7 @@ class Vocabulary:
         # A token whose own bytes merge into something else can never end a merged prefix.
         self.reachable = {token: rank for token, rank in ranks.items() if len(token) == 1 or self.merged(token) == [rank]}
         self.apart: dict[tuple[int, int], bool] = {}
+        self.most_pairs = REMEMBERED_PAIRS
         # The longest merged token that ends with three given bytes: a prefix need not look back further.
         self.reach: dict[bytes, int] = {}
         # The two tokens whose merge makes each token last, and the token that each such pair makes.
@@ -81,7 +82,7 @@ class Vocabulary:
         return [self.ranks[p] for p in parts]
 
     def stay_apart(self, left: int, right: int) -> bool:
-        if len(self.apart) > REMEMBERED_PAIRS:
+        if len(self.apart) > self.most_pairs:
             self.apart.clear()
         self.apart[left, right] = apart = self._never_meet(left, right)
         return apart
@@ -179,7 +180,10 @@ class PrefixTable:
 class Encoder:
     """Whole texts to ids: pieces by `pattern`, each by its prefix table, repeated pieces from memory."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str):
+    def __init__(self, vocabulary: Vocabulary, pattern: str, share: float = 1.0):
+        """`share` scales what is remembered: less takes more time and gives the same ids."""
+        self.most_pieces, self.most_prefixes = int(share * REMEMBERED_PIECES), int(share * REMEMBERED_PREFIXES)
+        vocabulary.most_pairs = int(share * REMEMBERED_PAIRS)
         self.vocabulary, self.split = vocabulary, regex.compile(pattern).findall
         self.last: dict[bytes, int] = {}
         encoder = self
@@ -214,7 +218,7 @@ class Encoder:
         """As `PrefixTable`, but the table is one for all pieces: the last token depends on the prefix alone."""
         v, last = self.vocabulary, self.last
         token_of, known, reach = v.reachable.get, v.apart.get, v.reach.get
-        if len(last) > REMEMBERED_PREFIXES:
+        if len(last) > self.most_prefixes:
             last.clear()
         n = have = len(data)
         while have and data[:have] not in last:
@@ -243,7 +247,7 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if len(self.known) > REMEMBERED_PIECES:
+        if len(self.known) > self.most_pieces:
             self.older, self.known = dict(self.known), self.young()
         return b"".join(map(self.known.__getitem__, self.split(text)))
 
@@ -300,7 +304,7 @@ def _rows(docs: DataFrame, column: str, keep: tuple[str, ...], made: tuple[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, forget = convert()
         try:
-            for batch in batches:
+            for batch in (part for whole in batches for part in sliced(whole, column)):
                 rows = [one(x) for x in batch.column(column).to_pylist()]
                 values = [pa.array([r[k] for r in rows], pa.binary()) for k in range(len(made))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *values], [*keep, *made])
@@ -318,16 +322,18 @@ def encode(
     text: str = "text",
     keep: tuple[str, ...] = ("doc_id",),
     decoded: str | None = None,
+    share: float = 1.0,
 ) -> DataFrame:
     """Columns `keep` and `ids` (little-endian unsigned 32-bit integers), one row per input row.
 
     `decoded` names a further column with the bytes that these ids stand for: both come from one pass, with one worker a
-    task. `ranks_path` is read by the driver, so executors need no copy of the file; a vocabulary is a few MB.
+    task. `share` scales what is remembered (about 200 MB at most). `ranks_path` is read by the driver, so executors need
+    no copy of the file; a vocabulary is a few MB.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(load_ranks(ranks_path)))
 
     def convert():
-        encoder = Encoder(vocabulary.value, pattern)
+        encoder = Encoder(vocabulary.value, pattern, share)
         back = _decoder(vocabulary.value.tokens)
 
         def one(value: str | None) -> tuple[bytes, ...]:

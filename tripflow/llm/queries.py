@@ -94,9 +94,9 @@ def op5(table) -> DataFrame:
     return encoded(table("documents"), public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN)
 
 
-def encoded(docs: DataFrame, ranks: str, pattern: str, *keep: str) -> DataFrame:
+def encoded(docs: DataFrame, ranks: str, pattern: str, *keep: str, share: float = 1.0) -> DataFrame:
     """Ids and what they decode to, as counts and digests; `keep` names further columns, ids among them."""
-    return bpe.encode(docs, ranks, pattern, decoded="decoded").select(
+    return bpe.encode(docs, ranks, pattern, decoded="decoded", share=share).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         sha(F.col("ids")).alias("ids_sha256"),
