@@ -81,7 +81,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
     session(spark)
-    return encoded(docs, public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN, "ids")
+    # Executors still hold what earlier stages needed: the encoder remembers less and takes longer.
+    return encoded(docs, public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN, "ids", share=0.05)
 
 
 STAGES = [
