@@ -8,8 +8,8 @@ one with the smallest id stays. Only turn hashes are shuffled for this, and the
 Turns are ordered by number. Under one number system comes before user, user before assistant, assistant before any
 other role, and equal roles go by hash.
 
-Defined results: null roles and texts count as empty; rows that agree in all columns are one turn; rows without
-conv_id are one conversation, which a copy with an id replaces; a turn marker inside a role or text is broken up by a
+Defined results: null roles and texts count as empty; rows that agree in all columns are one turn; each row
+without conv_id is a conversation of its own, which a copy with an id replaces; a turn marker inside a role or text is broken up by a
 space, so that none can pass for a turn; an empty table gives an empty table; other columns are ignored, so no
 name can clash.
 """
@@ -33,8 +33,10 @@ BROADCAST_ROWS = 1_000_000
 
 def _turns(conversations: DataFrame) -> DataFrame:
     """(conv, turn, rank, hash, role, text), with nulls as empty texts; `conv` is the id in a struct: never null."""
+    # A row without conv_id has only itself to go with; its digest tells it from others, and copies of it are one.
+    whole = F.concat_ws("|", F.col("turn").cast("string"), F.octet_length("role").cast("string"), "role", "text")
     given = conversations.select(
-        F.struct("conv_id").alias("conv"),
+        F.struct("conv_id", F.when(F.col("conv_id").isNull(), F.md5(whole.cast("binary"))).alias("own")).alias("conv"),
         "turn",
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
@@ -110,13 +112,14 @@ def chats(conversations: DataFrame) -> DataFrame:
 
 # The result of `chats`, with sequences compared as lists of turn hashes. SQL's md5 is that of the UTF-8 bytes.
 CHAT_SQL = r"""
-WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             CASE WHEN conv_id IS NULL THEN concat(CAST(turn AS VARCHAR), '|', strlen(role), '|', role, '|', text) END AS own FROM conversations),
 h AS (SELECT *, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 WHEN 'assistant' THEN 3 ELSE 4 END AS k,
              md5(concat(CAST(strlen(role) AS VARCHAR), ':', role, text)) AS h,
              concat('<|im_start|>', replace(role, '<|', '< |'), chr(10), replace(text, '<|', '< |'), '<|im_end|>', chr(10)) AS r
       FROM t),
 c AS (SELECT conv_id, count(*) AS n_turns, list(h ORDER BY turn NULLS FIRST, k, h) AS hs,
-             string_agg(r, '' ORDER BY turn NULLS FIRST, k, h) AS text FROM h GROUP BY conv_id),
+             string_agg(r, '' ORDER BY turn NULLS FIRST, k, h) AS text FROM h GROUP BY conv_id, own),
 p AS (SELECT DISTINCT array_to_string(hs[1:i], '') AS s FROM (SELECT hs, unnest(range(1, len(hs))) AS i FROM c)),
 o AS (SELECT *, array_to_string(hs, '') AS s,
              row_number() OVER (PARTITION BY array_to_string(hs, '') ORDER BY conv_id NULLS LAST) AS place FROM c)

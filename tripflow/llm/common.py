@@ -7,7 +7,6 @@ a few numpy passes. Nulls count as empty texts.
 from __future__ import annotations
 
 import ctypes
-import gc
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -63,7 +62,6 @@ def lean(run):
         try:
             yield from run(batches)
         finally:
-            gc.collect()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
             if trim is not None:
