@@ -353,7 +353,7 @@ _RULED = """SELECT * REPLACE (1000 + 25 * abs(coalesce(pu, -1) - coalesce(do_, -
       THEN 900 ELSE 0 END + CASE WHEN isodow(pickup_datetime) >= 6 THEN 500 ELSE 0 END + 3 * second(pickup_datetime) AS quoted_c)
     FROM trips"""
 # Fewer rounds and larger steps than in production: the queries are run again and again.
-SHORT_TRAINING = {"boosting_rounds": 25, "learning_rate": 0.25}
+SHORT_TRAINING = {"boosting_rounds": 16, "learning_rate": 0.3}
 
 
 def ruled_cents(pickup, pu, do):
@@ -391,7 +391,7 @@ def m7(i):
         F.count(F.lit(1)).alias("quotes"),
         F.count_if(F.col("predicted_amount").isNull()).alias("unquoted"),
         (2 * F.count_if(off <= 2) >= F.count(F.lit(1))).alias("within_two_dollars"),
-        F.lit(model.card()["rounds_kept"] >= 20).alias("many_rounds"),
+        F.lit(model.card()["rounds_kept"] >= 12).alias("many_rounds"),
     )
 
 
@@ -405,7 +405,7 @@ def followed(report):
     """Per model: whether its mean error is well below the pair median's, and whether the trees are many."""
     pair = F.max(F.when(F.col("model") == "zone_pair_median", F.col("mae"))).over(Window.partitionBy())
     follows = (F.col("mae").cast("double") <= 0.75 * pair.cast("double")).alias("follows")
-    return report.select("model", follows, (F.col("rounds_kept") >= 20).alias("many_rounds"))
+    return report.select("model", follows, (F.col("rounds_kept") >= 12).alias("many_rounds"))
 
 
 @query("m8_compare_all", FOLLOWED)
