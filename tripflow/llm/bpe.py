@@ -27,10 +27,11 @@ from pyspark.sql import types as T
 from tripflow.llm.common import lean, sliced
 
 # A task remembers the encodings of so many pieces (twice as many: the older half goes when the younger is full) and the
-# last tokens of so many prefixes, a worker so many pairs of neighbours; then they start afresh. `share` scales all three.
+# last tokens of so many prefixes, a worker so many pairs of neighbours; then they start afresh. `share` scales
+# the first two.
 REMEMBERED_PIECES = 150_000
 REMEMBERED_PREFIXES = 600_000
-REMEMBERED_PAIRS = 400_000
+REMEMBERED_PAIRS = 250_000
 # Prefixes of longer pieces are not shared among pieces: remembering them would take the square of the length.
 SHARED_PREFIX_BYTES = 48
 
@@ -55,7 +56,6 @@ class Vocabulary:
         # A token whose own bytes merge into something else can never end a merged prefix.
         self.reachable = {token: rank for token, rank in ranks.items() if len(token) == 1 or self.merged(token) == [rank]}
         self.apart: dict[tuple[int, int], bool] = {}
-        self.most_pairs = REMEMBERED_PAIRS
         # The longest merged token that ends with three given bytes: a prefix need not look back further.
         self.reach: dict[bytes, int] = {}
         # The two tokens whose merge makes each token last, and the token that each such pair makes.
@@ -82,7 +82,7 @@ class Vocabulary:
         return [self.ranks[p] for p in parts]
 
     def stay_apart(self, left: int, right: int) -> bool:
-        if len(self.apart) > self.most_pairs:
+        if len(self.apart) > REMEMBERED_PAIRS:
             self.apart.clear()
         self.apart[left, right] = apart = self._never_meet(left, right)
         return apart
@@ -181,9 +181,8 @@ class Encoder:
     """Whole texts to ids: pieces by `pattern`, each by its prefix table, repeated pieces from memory."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str, share: float = 1.0):
-        """`share` scales what is remembered: less takes more time and gives the same ids."""
+        """`share` scales the remembered pieces and prefixes: less takes more time and gives the same ids."""
         self.most_pieces, self.most_prefixes = int(share * REMEMBERED_PIECES), int(share * REMEMBERED_PREFIXES)
-        vocabulary.most_pairs = int(share * REMEMBERED_PAIRS)
         self.vocabulary, self.split = vocabulary, regex.compile(pattern).findall
         self.last: dict[bytes, int] = {}
         encoder = self

@@ -32,8 +32,8 @@ def session(spark: SparkSession) -> SparkSession:
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_HOME not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_HOME])
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "400")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 20))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
