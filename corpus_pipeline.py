@@ -82,7 +82,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     session(spark)
     # Executors still hold what earlier stages needed: the encoder remembers less and takes longer.
-    return encoded(docs, public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN, "ids", share=0.05)
+    return encoded(docs, public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN, "ids", share=0.25)
 
 
 STAGES = [
