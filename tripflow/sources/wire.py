@@ -16,6 +16,7 @@ from pyspark.sql.types import DataType, StructField, StructType, TimestampType
 from tripflow.functions.identity import event_key, uuid_of
 from tripflow.functions.once import with_once
 from tripflow.functions.time import iso_text
+from tripflow.operators.ownership import is_live
 from tripflow.operators.validate import canonical_violations
 from tripflow.schemas import (
     CANONICAL_TYPES,
@@ -30,6 +31,7 @@ from tripflow.schemas import (
     WIRE_TEXT,
     extras_schema,
 )
+from tripflow.settings import Settings
 
 
 def encode_wire(events: DataFrame) -> DataFrame:
@@ -93,6 +95,24 @@ def decode_wire(messages: DataFrame, source: str) -> DataFrame:
     return with_once(flagged, "wire_error", error).drop("_unreadable")
 
 
+def decoded_once(judged: DataFrame, settings: Settings, path: str) -> tuple[DataFrame, DataFrame]:
+    """(live events, dead letters) of decoded messages, read back from `path`, where one pass over them has written both.
+
+    The pass leaves out what neither side reads: events that belong to the history, and the text of readable messages.
+    """
+    dead = F.col("wire_error").isNotNull()
+    fields = [c for c in judged.columns if c not in ("value", "wire_error")]
+    rows = judged.where(dead | is_live(settings.cutoff)).select(
+        dead.alias("dead"),
+        "wire_error",
+        F.when(dead, F.col("value")).alias("value"),
+        *(F.when(~dead, F.col(c)).alias(c) for c in fields),
+    )
+    rows.write.option("compression", "zstd").partitionBy("dead").parquet(path)
+    held = judged.sparkSession.read.schema(rows.schema).parquet(path)
+    return held.where("not dead").select(*fields), held.where("dead").select("value", "wire_error")
+
+
 def decode_view(messages: DataFrame, keyed: bool = False) -> DataFrame:
     """The few fields window metrics need; unknown fields are ignored.
 

@@ -13,14 +13,12 @@ from tripflow.operators.baselines import as_predictions
 from tripflow.operators.dedupe import first_per_key
 from tripflow.operators.features import quoted_amount
 from tripflow.operators.ingest import flatten_zones
-from tripflow.operators.ownership import is_live
-from tripflow.operators.validate import split
 from tripflow.schemas import AVERAGE, PREDICTIONS
 from tripflow.session import scratch
 from tripflow.settings import Settings
 from tripflow.sources.files import remove_folder
 from tripflow.sources.serving_tables import COMPACT_AFTER, compact, due, read_batches, write_batch
-from tripflow.sources.wire import decode_wire
+from tripflow.sources.wire import decode_wire, decoded_once
 
 Quote = Callable[[DataFrame], DataFrame]
 
@@ -36,11 +34,6 @@ def readable(messages: DataFrame, settings: Settings) -> DataFrame:
     return judged.withColumn("wire_error", F.when(wide, "price_out_of_range").otherwise(F.col("wire_error")))
 
 
-def live_events(good: DataFrame, settings: Settings) -> DataFrame:
-    """Readable events after the cutoff with flattened zones; earlier ones belong to the history."""
-    return flatten_zones(good.drop("value").where(is_live(settings.cutoff)))
-
-
 def score(events: DataFrame, quote: Quote, version: str) -> DataFrame:
     return as_predictions(quote(events), version, F.current_timestamp())
 
@@ -59,18 +52,15 @@ def publish_quotes(
 ) -> StreamingQuery:
     """Score every micro-batch: quotes and dead letters are published under its batch id, and a repeated batch replaces both.
 
-    A message is decoded once; what was read lies in the shared folder until both tables are written.
+    A message is decoded once; live events and dead letters lie in the shared folder until both tables are written.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         held = scratch(spark, "scored-batch")
-        judged = readable(batch, settings)
-        judged.write.parquet(held)
-        good, dead = split(spark.read.schema(judged.schema).parquet(held), "wire_error")
-        write_batch(score(live_events(good, settings), quote, version), batch_id, path, "pickup_datetime")
-        target = f"{dead_path.rstrip('/')}/batch_id={batch_id}"
-        dead.select("value", "wire_error").write.mode("overwrite").parquet(target)
+        live, dead = decoded_once(readable(batch, settings), settings, held)
+        write_batch(score(flatten_zones(live), quote, version), batch_id, path, "pickup_datetime")
+        dead.write.mode("overwrite").parquet(f"{dead_path.rstrip('/')}/batch_id={batch_id}")
         remove_folder(spark, held)
         if due(spark, path, compact_after):
             compact(spark, path, PREDICTIONS, ["event_id"], newest_quote(), "pickup_datetime")
