@@ -106,7 +106,8 @@ def write_batch(rows: DataFrame, batch_id: int, path: str, time: str) -> None:
     merged = _bases(rows.sparkSession, path)
     if merged and batch_id <= merged[-1]:
         return
-    dated = rows.withColumn("day", F.to_date(time))
+    # Each day in one task: otherwise every task writes a file for every day.
+    dated = rows.withColumn("day", F.to_date(time)).hint("rebalance", "day")
     dated.write.mode("overwrite").partitionBy("day").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
