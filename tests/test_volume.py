@@ -63,3 +63,15 @@ def test_a_batch_has_one_small_file_per_day_whatever_its_tasks(spark, tmp_path):
     days = spark.range(0, 400, 1, 8).select("id", F.expr("timestamp'2026-01-01' + make_interval(0, 0, 0, cast(id % 5 as int))").alias("at"))
     write_batch(days, 0, str(tmp_path / "t"), "at")
     assert len(list_files(spark, str(tmp_path / "t"), "batch_id=0/day=*/part-*")) == 5
+
+
+def test_codes_of_folds_start_from_kept_sums(spark, tmp_path):
+    from tripflow.operators.encoding import cross_fitted_codes
+
+    source = str(tmp_path / "rows")
+    rows = spark.range(50).selectExpr(
+        "cast(id as string) AS event_id", "id * 100 AS quoted_cents", "id % 3 AS pickup_zone_id", "id % 2 AS dropoff_zone_id", "id % 6 AS zone_pair"
+    )
+    rows.write.parquet(source)
+    codes = cross_fitted_codes(spark.read.parquet(source), SETTINGS)
+    assert source not in " ".join(codes.inputFiles()) and codes.count() > 0
