@@ -28,7 +28,7 @@ from tripflow.llm.common import lean, sliced
 
 # A task remembers the encodings of so many pieces (twice as many: the older half goes when the younger is full) and the
 # last tokens of so many prefixes, a worker so many pairs of neighbours; then they start afresh. `share` scales
-# the first two.
+# the first two; with a share below one a task gives its pairs back as well.
 REMEMBERED_PIECES = 150_000
 REMEMBERED_PREFIXES = 600_000
 REMEMBERED_PAIRS = 250_000
@@ -42,30 +42,57 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+# Pairs of ranks are kept as one integer: a tuple and two integers of its own would take three times as much.
+PAIR_BITS = 32
+
+
 class Vocabulary:
-    """Ranks, their inverse and the tokens that merging can give; `apart` remembers which neighbours stay apart."""
+    """Ranks, their inverse and the tokens that merging can give; `apart` remembers which neighbours stay apart.
+
+    A copy sent to a worker is put together so that its tables share their integers.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
-        self.size = {rank: len(token) for token, rank in ranks.items()}
-        self.longest = max(map(len, ranks))
         # A token whose own bytes merge into something else can never end a merged prefix.
-        self.reachable = {token: rank for token, rank in ranks.items() if len(token) == 1 or self.merged(token) == [rank]}
-        self.apart: dict[tuple[int, int], bool] = {}
+        reached = [len(token) == 1 or self.merged(token) == [rank] for token, rank in ranks.items()]
+        # The two tokens whose merge makes each token last.
+        halves = (
+            (rank, rank) if len(token) == 1 or not merges else self.merged(token, 2)
+            for (token, rank), merges in zip(ranks.items(), reached, strict=True)
+        )
+        left, right = (array("q", half) for half in zip(*halves, strict=True))
+        self.__setstate__((list(ranks), array("q", ranks.values()), reached, left, right))
+
+    def __getstate__(self) -> tuple:
+        ranks = array("q", self.ranks.values())
+        halves = (array("q", map(half.__getitem__, ranks)) for half in (self.left_half, self.right_half))
+        return (list(self.ranks), ranks, [token in self.reachable for token in self.ranks], *halves)
+
+    def __setstate__(self, state: tuple) -> None:
+        tokens, ranks, reached, left, right = state
+        ranks = ranks.tolist()
+        same = dict(zip(ranks, ranks, strict=True)).__getitem__
+        self.ranks = dict(zip(tokens, ranks, strict=True))
+        self.tokens = dict(zip(ranks, tokens, strict=True))
+        self.size = {rank: len(token) for token, rank in self.ranks.items()}
+        self.longest = max(map(len, tokens))
+        merged = [(token, rank) for token, rank, merges in zip(tokens, ranks, reached, strict=True) if merges]
+        self.reachable = self.ranks if len(merged) == len(ranks) else dict(merged)
+        self.left_half = dict(zip(ranks, map(same, left), strict=True))
+        self.right_half = dict(zip(ranks, map(same, right), strict=True))
+        self.apart: dict[int, bool] = {}
         # The longest merged token that ends with three given bytes: a prefix need not look back further.
         self.reach: dict[bytes, int] = {}
-        # The two tokens whose merge makes each token last, and the token that each such pair makes.
-        self.halves = {rank: (rank, rank) for token, rank in ranks.items() if len(token) == 1}
-        self.joined: dict[tuple[int, int], int] = {}
-        for token, rank in self.reachable.items():
+        # The token that each pair of halves makes.
+        self.joined: dict[int, int] = {}
+        for token, rank in merged:
             self.reach[token[-3:]] = max(self.reach.get(token[-3:], 2), len(token))
             if len(token) > 1:
-                self.halves[rank] = left, right = tuple(self.merged(token, 2))
-                self.joined[left, right] = rank
+                self.joined[self.left_half[rank] << PAIR_BITS | self.right_half[rank]] = rank
 
     def merged(self, data: bytes, until: int = 1) -> list[int]:
         """Plain merging, lowest rank first, down to `until` tokens at least."""
@@ -84,7 +111,7 @@ class Vocabulary:
     def stay_apart(self, left: int, right: int) -> bool:
         if len(self.apart) > REMEMBERED_PAIRS:
             self.apart.clear()
-        self.apart[left, right] = apart = self._never_meet(left, right)
+        self.apart[left << PAIR_BITS | right] = apart = self._never_meet(left, right)
         return apart
 
     def _never_meet(self, left: int, right: int) -> bool:
@@ -95,7 +122,7 @@ class Vocabulary:
         """
         latest = 1 << 62
         while True:
-            if self.joined.get((left, right), latest) < latest:
+            if self.joined.get(left << PAIR_BITS | right, latest) < latest:
                 return False
             steps = (self._undo_left, self._undo_right) if left > right else (self._undo_right, self._undo_left)
             for undo in steps:
@@ -107,12 +134,12 @@ class Vocabulary:
                 return True
 
     def _undo_left(self, left: int, right: int) -> tuple[int, int, int] | None:
-        part = self.halves[left][1]
+        part = self.right_half[left]
         return None if part == left else (part, right, left)
 
     def _undo_right(self, left: int, right: int) -> tuple[int, int, int] | None:
         # Of equal ranks the pair further left merges first, so one that crosses the border still comes first.
-        part = self.halves[right][0]
+        part = self.left_half[right]
         return None if part == right else (left, part, right + 1)
 
     def extend(self, data: bytes, last: array, until: int) -> None:
@@ -126,7 +153,7 @@ class Vocabulary:
                 if start == 0:
                     break
                 left = last[start - 1]
-                apart = known((left, token))
+                apart = known(left << PAIR_BITS | token)
                 if apart or (apart is None and stay_apart(left, token)):
                     break
             else:
@@ -183,6 +210,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str, share: float = 1.0):
         """`share` scales the remembered pieces and prefixes: less takes more time and gives the same ids."""
         self.most_pieces, self.most_prefixes = int(share * REMEMBERED_PIECES), int(share * REMEMBERED_PREFIXES)
+        self.keeps_pairs = share >= 1
         self.vocabulary, self.split = vocabulary, regex.compile(pattern).findall
         self.last: dict[bytes, int] = {}
         encoder = self
@@ -201,8 +229,10 @@ class Encoder:
         self.known = Known()
 
     def forget(self) -> None:
-        """Give the memories of the task back; the vocabulary and its pairs outlive it."""
+        """Give the memories of the task back; the vocabulary outlives it, and so do its pairs unless memory is short."""
         self.known, self.older, self.last = self.young(), {}, {}
+        if not self.keeps_pairs:
+            self.vocabulary.apart.clear()
 
     def piece_ids(self, piece: str) -> list[int]:
         data = piece.encode("utf-8", "surrogatepass")
@@ -231,7 +261,7 @@ class Encoder:
                 if start == 0:
                     break
                 left = last[data[:start]]
-                apart = known((left, token))
+                apart = known(left << PAIR_BITS | token)
                 if apart or (apart is None and v.stay_apart(left, token)):
                     break
             else:
@@ -247,7 +277,7 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if len(self.known) > self.most_pieces:
-            self.older, self.known = dict(self.known), self.young()
+            self.older, self.known = self.known, self.young()
         return b"".join(map(self.known.__getitem__, self.split(text)))
 
 
