@@ -17,7 +17,7 @@ from tripflow.functions.identity import event_key, uuid_of
 from tripflow.functions.once import with_once
 from tripflow.functions.time import iso_text
 from tripflow.operators.ownership import is_live
-from tripflow.operators.validate import canonical_violations
+from tripflow.operators.validate import first_violation
 from tripflow.schemas import (
     CANONICAL_TYPES,
     DOUBLE,
@@ -86,11 +86,10 @@ def decode_wire(messages: DataFrame, source: str) -> DataFrame:
         *columns, "m.source_extras", reduce(or_, unreadable).alias("_unreadable"), "value"
     )
     missing = reduce(or_, (F.col(name).isNull() for name in REQUIRED_CANONICAL))
-    violations = canonical_violations()
     error = (
         F.when(F.col("_unreadable"), "unreadable_field")
         .when(missing, "missing_field")
-        .when(F.size(violations) > 0, F.element_at(violations, 1))
+        .otherwise(first_violation())
     )
     return with_once(flagged, "wire_error", error).drop("_unreadable")
 
