@@ -31,3 +31,9 @@ def test_the_first_violation_is_compiled_and_the_first_of_the_list(spark):
     found = sick.select(first_violation().alias("one"), F.get(canonical_violations(), F.lit(0)).alias("listed")).collect()
     assert [r.one for r in found] == [r.listed for r in found] == [None, "negative_amount", "amount_missing"]
     assert "lambda" not in plan(decode_wire(encode_wire(good), SETTINGS.source))
+
+
+def test_encoded_fields_are_read_once(spark):
+    from catalog import QUERIES
+
+    assert plan(QUERIES["s8_encode_wire"](spark, "/root/testdata/sf0.001")).count("get_json_object(") == 1
