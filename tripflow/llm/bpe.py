@@ -6,7 +6,8 @@ prefix before it) stays in front of it when the two are encoded together. Readin
 the encoding of any prefix, so bytes can be appended without looking back, and after an edit only what follows
 it is computed anew until the old table holds again.
 
-A text is first cut into pieces by the vocabulary's pattern; pieces are encoded separately.
+A text is first cut into pieces by the vocabulary's pattern; pieces are encoded separately. The pieces of a batch that are
+not known yet go through the program together, one place after the other, as arrays (`PieceTables`).
 
 Defined results: a null text counts as empty and has no ids; repeated rows get the same ids; an empty table
 gives an empty table; columns other than the text and those named in `keep` are ignored, so no name can clash.
@@ -16,7 +17,9 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +27,20 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tripflow.llm.common import lean, sliced
+from tripflow.llm.common import U64, RangeHash, lean, sliced
 
-# A task remembers the encodings of so many pieces (twice as many: the older half goes when the younger is full) and the
-# last tokens of so many prefixes, a worker so many pairs of neighbours; then they start afresh. `share` scales
-# the first two; with a share below one a task gives its pairs back as well.
+# A task remembers the encodings of so many pieces (twice as many: the older half goes when the younger is full), a worker so
+# many pairs of neighbours; then they start afresh. `share` scales the first; with a share below one a task gives its
+# pairs back as well.
 REMEMBERED_PIECES = 150_000
-REMEMBERED_PREFIXES = 600_000
 REMEMBERED_PAIRS = 250_000
-# Prefixes of longer pieces are not shared among pieces: remembering them would take the square of the length.
-SHARED_PREFIX_BYTES = 48
+# Longer pieces are encoded one by one.
+SHORT_PIECE_BYTES = 48
+# So many new pieces at least, and so many bytes of them at once, are encoded as arrays.
+LEAST_TOGETHER = 64
+TOGETHER_BYTES = 1 << 17
+# Bytes of text that are cut into pieces at once.
+CUT_BYTES = 1 << 19
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -85,6 +92,7 @@ class Vocabulary:
         self.left_half = dict(zip(ranks, map(same, left), strict=True))
         self.right_half = dict(zip(ranks, map(same, right), strict=True))
         self.apart: dict[int, bool] = {}
+        self.__dict__.pop("tables", None)
         # The longest merged token that ends with three given bytes: a prefix need not look back further.
         self.reach: dict[bytes, int] = {}
         # The token that each pair of halves makes.
@@ -94,6 +102,14 @@ class Vocabulary:
             if len(token) > 1:
                 self.joined[self.left_half[rank] << PAIR_BITS | self.right_half[rank]] = rank
 
+    @cached_property
+    def tables(self) -> PieceTables:
+        return PieceTables(self)
+
+    def forget_pairs(self) -> None:
+        self.apart.clear()
+        self.__dict__.pop("tables", None)
+
     def merged(self, data: bytes, until: int = 1) -> list[int]:
         """Plain merging, lowest rank first, down to `until` tokens at least."""
         parts = [data[i : i + 1] for i in range(len(data))]
@@ -161,6 +177,162 @@ class Vocabulary:
             last.append(token)
 
 
+_ODD = U64(0x9E3779B97F4A7C15)
+
+
+class Lookup:
+    """Values (from 0 on) of 64-bit keys, by open addressing: arrays of keys are looked up together, -1 where there is none."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = len(keys).bit_length() + 2
+        self.shift, self.last = U64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+        slot, left = self._home(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.values[slot[left]] < 0]
+            at, first = np.unique(slot[free], return_index=True)
+            self.keys[at], self.values[at] = keys[free[first]], values[free[first]]
+            left = np.setdiff1d(left, free[first])
+            slot[left] = (slot[left] + 1) & self.last
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _ODD) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._home(keys)
+        out = self.values[slot]
+        other = np.flatnonzero((out >= 0) & (self.keys[slot] != keys))
+        while len(other):
+            slot[other] = at = (slot[other] + 1) & self.last
+            out[other] = self.values[at]
+            other = other[(out[other] >= 0) & (self.keys[at] != keys[other])]
+        return out
+
+
+class PieceTables:
+    """The vocabulary as arrays: many short pieces go through the program together.
+
+    Tokens are numbered by rank here, so numbers compare as ranks do. A token is found by the hash of its bytes.
+    """
+
+    def __init__(self, v: Vocabulary):
+        self.ranks = np.array(sorted(v.tokens), np.int64)
+        tokens = [v.tokens[rank] for rank in self.ranks.tolist()]
+        self.size = np.fromiter(map(len, tokens), np.int32, len(tokens))
+        half = lambda of: np.searchsorted(self.ranks, [of[rank] for rank in self.ranks.tolist()]).astype(np.int32)
+        self.left_half, self.right_half = half(v.left_half), half(v.right_half)
+        number = np.arange(len(tokens), dtype=np.int32)
+        merged = np.fromiter((token in v.reachable for token in tokens), bool, len(tokens))
+        usable = number[merged & (self.size <= SHORT_PIECE_BYTES)]
+        body, ends = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(self.size, dtype=np.int64)
+        first, end = (ends - self.size)[usable], ends[usable]
+        self.found = Lookup(RangeHash(body)(first, end), usable)
+        made = number[merged & (self.size > 1)]
+        self.joined = Lookup(self._pair(self.left_half[made], self.right_half[made]).view(np.uint64), made)
+        # By the four bytes that a longer token begins or ends with: a bit for each size that such tokens have.
+        self.begins, self.ends = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.uint64)
+        long, four = self.size[usable] > 3, self._fours(body)
+        bit = U64(1) << self.size[usable][long].astype(np.uint64)
+        np.bitwise_or.at(self.begins, four[first[long]], bit)
+        np.bitwise_or.at(self.ends, four[end[long] - 4], bit)
+        # Remembered pairs, each with its verdict as the last bit: a new one takes the place of what it meets.
+        self.pairs = np.full(1 << (REMEMBERED_PAIRS.bit_length() - 1), -1, np.int64)
+
+    def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return left.astype(np.int64) * len(self.ranks) + right
+
+    @staticmethod
+    def _fours(body: np.ndarray) -> np.ndarray:
+        """A hash of the four bytes that begin at each place."""
+        if len(body) < 4:
+            return np.empty(0, np.int64)
+        wide = body.astype(np.uint32)
+        four = wide[:-3] | wide[1:-2] << np.uint32(8) | wide[2:-1] << np.uint32(16) | wide[3:] << np.uint32(24)
+        return ((four * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64)
+
+    def stay_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = self._pair(left, right)
+        slot = ((pair.view(np.uint64) * _ODD) >> U64(65 - len(self.pairs).bit_length())).astype(np.int64)
+        kept = self.pairs[slot]
+        out = (kept & 1).astype(bool)
+        new = np.flatnonzero(kept >> 1 != pair)
+        if len(new):
+            out[new] = self._never_meet(left[new], right[new])
+            self.pairs[slot[new]] = pair[new] << 1 | out[new]
+        return out
+
+    def _never_meet(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """As `Vocabulary._never_meet`, pair by pair."""
+        out, own = np.zeros(len(left), bool), np.arange(len(left))
+        latest = np.full(len(left), len(self.ranks), np.int32)
+        while len(own):
+            made = self.joined(self._pair(left, right).view(np.uint64))
+            part_left, part_right = self.right_half[left], self.left_half[right]
+            can_left, can_right = part_left != left, part_right != right
+            going = (made < 0) | (made >= latest)
+            out[own[going & ~can_left & ~can_right]] = True
+            going &= can_left | can_right
+            undo_left = can_left & ((left > right) | ~can_right)
+            latest = np.where(undo_left, left, right + 1)[going]
+            left, right = np.where(undo_left, part_left, left)[going], np.where(undo_left, right, part_right)[going]
+            own = own[going]
+        return out
+
+    def _tokens_within(self, body: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the last byte, size, token) of all tokens in the pieces, longest first."""
+        hashes, four = RangeHash(body), self._fours(body)
+        begins, ends = np.zeros(len(body), np.uint64), np.zeros(len(body), np.uint64)
+        begins[: len(four)], ends[len(body) - len(four) :] = self.begins[four], self.ends[four]
+        last, found = np.arange(len(body)), []
+        for size in range(1, SHORT_PIECE_BYTES + 1):
+            last = last[column[last] >= size - 1]
+            if size > 3:
+                last = last[ends[last] >> U64(size) != 0]
+                at = last[(ends[last] & begins[last - size + 1]) >> U64(size) & U64(1) != 0]
+            else:
+                at = last
+            if not len(last):
+                break
+            token = self.found(hashes(at - size + 1, at + 1))
+            # The size is compared too: two strings of one hash would have to be of one size as well.
+            hit = np.flatnonzero((token >= 0) & (self.size[token] == size))
+            found.append((at[hit], np.full(len(hit), size), token[hit]))
+        return tuple(np.concatenate(x) for x in zip(*found[::-1], strict=True))
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of pieces of 1 to `SHORT_PIECE_BYTES` bytes, as little-endian unsigned 32-bit integers."""
+        body = np.frombuffer(b"".join(pieces), np.uint8)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = np.cumsum(sizes)
+        column = np.arange(len(body)) - np.repeat(ends - sizes, sizes)
+        place, size, token = self._tokens_within(body, column)
+        order = np.argsort(column[place].astype(np.uint8), kind="stable")
+        place, size, token = place[order], size[order], token[order]
+        cuts = np.cumsum(np.bincount(column[place], minlength=int(sizes.max()))).tolist()
+        # The last token of the prefix that ends with each byte.
+        last, low = np.full(len(body), -1, np.int32), 0
+        for at, high in enumerate(cuts):
+            p, n, t = place[low:high], size[low:high], token[low:high]
+            fits = n == at + 1
+            inner = np.flatnonzero(~fits)
+            fits[inner] = self.stay_apart(last[p[inner] - n[inner]], t[inner])
+            # The longest of a place is written last and stays.
+            last[p[fits][::-1]] = t[fits][::-1]
+            if (last[p] < 0).any():
+                raise ValueError("no token can end this prefix")
+            low = high
+        path, at, first = np.zeros(len(body), bool), ends - 1, ends - sizes
+        while len(at):
+            path[at] = True
+            at = at - self.size[last[at]]
+            inside = at >= first
+            at, first = at[inside], first[inside]
+        path = np.flatnonzero(path)
+        ids = self.ranks[last[path]].astype("<u4").tobytes()
+        cuts = (4 * np.searchsorted(path, ends)).tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
+
 class PrefixTable:
     """Last tokens of all prefixes of a growing, editable byte string (one piece)."""
 
@@ -205,80 +377,63 @@ class PrefixTable:
 
 
 class Encoder:
-    """Whole texts to ids: pieces by `pattern`, each by its prefix table, repeated pieces from memory."""
+    """Whole texts to ids: pieces by `pattern`, new ones of a batch together, known ones from memory."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str, share: float = 1.0):
-        """`share` scales the remembered pieces and prefixes: less takes more time and gives the same ids."""
-        self.most_pieces, self.most_prefixes = int(share * REMEMBERED_PIECES), int(share * REMEMBERED_PREFIXES)
-        self.keeps_pairs = share >= 1
+        """`share` scales the remembered pieces: less takes more time and gives the same ids."""
+        self.most_pieces, self.keeps_pairs = int(share * REMEMBERED_PIECES), share >= 1
         self.vocabulary, self.split = vocabulary, regex.compile(pattern).findall
-        self.last: dict[bytes, int] = {}
-        encoder = self
-
-        class Known(dict):
-            """Encodings of pieces; one that is not there is taken from the older half, or made."""
-
-            def __missing__(self, piece: str) -> bytes:
-                ids = encoder.older.get(piece)
-                if ids is None:
-                    ids = np.array(encoder.piece_ids(piece), "<u4").tobytes()
-                self[piece] = ids
-                return ids
-
-        self.young, self.older = Known, {}
-        self.known = Known()
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def forget(self) -> None:
         """Give the memories of the task back; the vocabulary outlives it, and so do its pairs unless memory is short."""
-        self.known, self.older, self.last = self.young(), {}, {}
+        self.known, self.older = {}, {}
         if not self.keeps_pairs:
-            self.vocabulary.apart.clear()
+            self.vocabulary.forget_pairs()
 
     def piece_ids(self, piece: str) -> list[int]:
-        data = piece.encode("utf-8", "surrogatepass")
+        return self._one(piece.encode("utf-8", "surrogatepass"))
+
+    def _one(self, data: bytes) -> list[int]:
         token = self.vocabulary.ranks.get(data)
-        if token is not None:
-            return [token]
-        if len(data) > SHARED_PREFIX_BYTES:
-            return PrefixTable(self.vocabulary, data).ids()
-        return self._by_shared_prefixes(data)
-
-    def _by_shared_prefixes(self, data: bytes) -> list[int]:
-        """As `PrefixTable`, but the table is one for all pieces: the last token depends on the prefix alone."""
-        v, last = self.vocabulary, self.last
-        token_of, known, reach = v.reachable.get, v.apart.get, v.reach.get
-        if len(last) > self.most_prefixes:
-            last.clear()
-        n = have = len(data)
-        while have and data[:have] not in last:
-            have -= 1
-        # A cleared memory, or a piece cut short by one, never leaves gaps: prefixes are added shortest first.
-        for end in range(have + 1, n + 1):
-            for start in range(max(0, end - reach(data[max(0, end - 3) : end], 2)), end):
-                token = token_of(data[start:end])
-                if token is None:
+        return PrefixTable(self.vocabulary, data).ids() if token is None else [token]
+
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Take the encodings of pieces from the older half, or make them."""
+        known, older, token_of, new, size = self.known, self.older.get, self.vocabulary.ranks.get, {}, 0
+        for piece in pieces:
+            ids = older(piece)
+            if ids is None:
+                data = piece.encode("utf-8", "surrogatepass")
+                if 0 < len(data) <= SHORT_PIECE_BYTES and token_of(data) is None:
+                    new[piece] = data
+                    size += len(data)
+                    if size > TOGETHER_BYTES:
+                        self._together(new)
+                        new, size = {}, 0
                     continue
-                if start == 0:
-                    break
-                left = last[data[:start]]
-                apart = known(left << PAIR_BITS | token)
-                if apart or (apart is None and v.stay_apart(left, token)):
-                    break
-            else:
-                raise ValueError("no token can end this prefix")
-            last[data[:end]] = token
-        out, size = [], v.size
-        while n:
-            token = last[data[:n]]
-            out.append(token)
-            n -= size[token]
-        return out[::-1]
+                ids = np.array(self._one(data), "<u4").tobytes()
+            known[piece] = ids
+        self._together(new)
+
+    def _together(self, new: dict[str, bytes]) -> None:
+        if len(new) < LEAST_TOGETHER:
+            self.known.update((piece, np.array(self._one(data), "<u4").tobytes()) for piece, data in new.items())
+        else:
+            self.known.update(zip(new, self.vocabulary.tables.encode(list(new.values())), strict=True))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.known) > self.most_pieces:
+            self.older, self.known = self.known, {}
+        cut = [self.split(text) if text else () for text in texts]
+        self._learn(set(chain.from_iterable(cut)).difference(self.known))
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, pieces)) for pieces in cut]
 
     def ids(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if len(self.known) > self.most_pieces:
-            self.older, self.known = self.known, self.young()
-        return b"".join(map(self.known.__getitem__, self.split(text)))
+        return self.encode([text])[0]
 
 
 class EditableEncoding:
@@ -328,14 +483,13 @@ class EditableEncoding:
 
 
 def _rows(docs: DataFrame, column: str, keep: tuple[str, ...], made: tuple[str, ...], convert) -> DataFrame:
-    """Columns `keep` and the binary columns `made`, of which `convert` makes one or more from a value."""
+    """Columns `keep` and the binary columns `made`, of which `convert` makes one or more from the values of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, forget = convert()
+        columns, forget = convert()
         try:
-            for batch in (part for whole in batches for part in sliced(whole, column)):
-                rows = [one(x) for x in batch.column(column).to_pylist()]
-                values = [pa.array([r[k] for r in rows], pa.binary()) for k in range(len(made))]
+            for batch in (part for whole in batches for part in sliced(whole, column, CUT_BYTES)):
+                values = [pa.array(x, pa.binary()) for x in columns(batch.column(column).to_pylist())]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *values], [*keep, *made])
         finally:
             forget()
@@ -356,7 +510,7 @@ def encode(
     """Columns `keep` and `ids` (little-endian unsigned 32-bit integers), one row per input row.
 
     `decoded` names a further column with the bytes that these ids stand for: both come from one pass, with one worker a
-    task. `share` scales what is remembered (about 200 MB at most). `ranks_path` is read by the driver, so executors need
+    task. `share` scales what is remembered (about 60 MB at most). `ranks_path` is read by the driver, so executors need
     no copy of the file; a vocabulary is a few MB.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(load_ranks(ranks_path)))
@@ -365,11 +519,11 @@ def encode(
         encoder = Encoder(vocabulary.value, pattern, share)
         back = _decoder(vocabulary.value.tokens)
 
-        def one(value: str | None) -> tuple[bytes, ...]:
-            ids = encoder.ids(value) if value else b""
-            return (ids, back(ids)) if decoded else (ids,)
+        def columns(texts: list[str | None]) -> list[list[bytes]]:
+            ids = encoder.encode(texts)
+            return [ids, list(map(back, ids))] if decoded else [ids]
 
-        return one, encoder.forget
+        return columns, encoder.forget
 
     return _rows(docs, text, keep, ("ids", decoded) if decoded else ("ids",), convert)
 
@@ -385,6 +539,6 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", keep: tuple[st
 
     def convert():
         back = _decoder({rank: data for data, rank in ranks.value.items()})
-        return lambda value: (back(value),), lambda: None
+        return lambda values: [list(map(back, values))], lambda: None
 
     return _rows(encoded, ids, keep, ("decoded",), convert)
